@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, packing, simhash
+from . import arrowfile, decontam, linededup, packing, simhash
 
 #: Tokenizer file of the packing and binary-output queries.
 TOKENIZER = "word_bpe_49k.json"
@@ -34,9 +34,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op5_token_binary, op6_packing)}
+    return {f.__name__: f for f in (op3_simhash_near_dedup, op5_token_binary, op6_packing, op9_benchmark_decontamination, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_benchmark_decontamination": decontam.SQL, "op10_line_dedup": linededup.SQL}
