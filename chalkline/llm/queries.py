@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, decontam, linededup, packing, simhash
+from . import arrowfile, decontam, langid, linededup, packing, simhash, toxicity
+from .common import crc_of_id
 
 #: Tokenizer file of the packing and binary-output queries.
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +19,24 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: The chain's categories: columns of the table labels, the earlier ones first. A document is rejected for the last.
+CATEGORIES = ["quality", "toxic"]
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, _read(spark, sf_dir, "labels"), CATEGORIES)
+    found = toxicity.score(docs, chain)
+    return found.select("doc_id", "quality_score", "toxic_score", F.col("toxic_flag").alias("toxic"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    net = langid.train(docs, modulus=5)
+    found = langid.predict(docs, net)
+    return found.select("doc_id", (crc_of_id("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -43,7 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op5_token_binary, op6_packing, op9_benchmark_decontamination, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op5_token_binary, op6_packing, op9_benchmark_decontamination, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
