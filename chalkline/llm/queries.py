@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, decontam, langid, linededup, packing, simhash, toxicity
+from . import arrowfile, decontam, langid, linededup, maxent, packing, rabitq, simhash, toxicity, warc
 from .common import crc_of_id
 
 #: Tokenizer file of the packing and binary-output queries.
@@ -42,6 +42,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(_read(spark, sf_dir, "documents"), modulus=7, remainder=2)
+
+
 def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = arrowfile.tokens_path(spark)
     shards = arrowfile.write_tokens(_read(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), end_id=1)
@@ -53,6 +57,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(warc.page_responses(_read(spark, sf_dir, "pages")))
+    return warc.digests(made).withColumnRenamed("key", "page_id")
+
+
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(_read(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -62,8 +75,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op5_token_binary, op6_packing, op9_benchmark_decontamination, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op4_lm_scoring, op5_token_binary, op6_packing, op7_warc_derivatives, op8_nearest_neighbours, op9_benchmark_decontamination, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": decontam.SQL, "op10_line_dedup": linededup.SQL}
+    return {"op8_nearest_neighbours": rabitq.SQL, "op9_benchmark_decontamination": decontam.SQL, "op10_line_dedup": linededup.SQL}
