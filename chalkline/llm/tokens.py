@@ -3,24 +3,57 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words kept in a worker's memo; it is emptied when full.
-MEMO_WORDS = 400_000
+#: Words kept in a worker's memo; a full memo becomes the old one, and the one before is dropped.
+MEMO_WORDS = 250_000
 #: str.split() parts words at these, the tokenizer's own white space does not include them.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: A word of plain Latin letters, and ASCII marks (no apostrophe) behind it.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PROBES = ["a", "The", "ÀÉÎÕÜ", "àßçñöøÿ", "hello", "Straße", "niño", "zzqxv", "naïve", "ÆØÅ"]
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for the UTF-8 bytes of plain letters."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
+class Memo:
+    """Two generations of a bounded map."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.young) >= MEMO_WORDS:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class Encoder:
     """Encodes texts into ids, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     When the tokenizer drops white space and cuts nothing across it (``by_word``), the ids of a
     text are those of its words one after another, so that frequent words are encoded once per
-    worker. Otherwise each text is encoded as it is.
+    worker. A word of plain letters with marks behind it is further parted in the two, if probes
+    show that this tokenizer does so, and its letters go to the model alone.
     """
 
     def __init__(self, path: str, by_word: bool = True) -> None:
@@ -28,30 +61,53 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.by_word = by_word
-        self.memo: dict[str, bytes] = {}
-
-    def _fill(self, words: set[str]) -> None:
-        missing = sorted(w for w in words if w not in self.memo)
-        if len(self.memo) + len(missing) > MEMO_WORDS:
-            self.memo.clear()
-            missing = sorted(words)
-        for at in range(0, len(missing), 4096):
-            block = missing[at : at + 4096]
-            for word, found in zip(block, self.tokenizer.encode_batch(block, add_special_tokens=False)):
-                self.memo[word] = np.asarray(found.ids, "<u4").tobytes()
+        self.words, self.plain = Memo(), Memo()
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.parts = by_word and all(self._letters(p.lower()) == self._whole(p) and self._letters(p.lower()) + self._whole('.,"') == self._whole(p + '.,"') for p in _PROBES)
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.old.get(word)
+        if found is None:
+            match = _PLAIN.fullmatch(word) if self.parts else None
+            if match is None:
+                found = self._whole(word)
+            else:
+                letters, marks = match[1].lower(), match[2]
+                found = self.plain.get(letters)
+                if found is None:
+                    found = self._letters(letters)
+                    self.plain.put(letters, found)
+                if marks:
+                    more = self.plain.get(marks)
+                    if more is None:
+                        more = self._whole(marks)
+                        self.plain.put(marks, more)
+                    found += more
+        self.words.put(word, found)
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; nothing for a null or empty text."""
         if not text:
             return b""
-        if not self.by_word or _ODD_SPACE.search(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.by_word or _ODD_SPACE.search(text) or "<|" in text:
+            return self._whole(text)
         words = text.split()
-        try:
-            return b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            self._fill(set(words))
-            return b"".join(map(self.memo.__getitem__, words))
+        ids = list(map(self.words.young.get, words))
+        if None in ids:
+            for i, found in enumerate(ids):
+                if found is None:
+                    if unicodedata.category(words[i][0])[0] == "M":  # a mark may act on the space before it
+                        return self._whole(text)
+                    ids[i] = self.words.young.get(words[i]) or self._word(words[i])
+        return b"".join(ids)
 
 
 def encoder(path: str, by_word: bool = True) -> Encoder:
