@@ -91,7 +91,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "d
     """
     gone = repeated(docs, min_words, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
     text = docs[text_col]
-    joined = docs.join(gone, same(docs[id_col], F.col("__doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__th")), "left")
+    joined = docs.join(gone.hint("merge"), same(docs[id_col], F.col("__doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__th")), "left")
     lines = _lines(text)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     cut = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
