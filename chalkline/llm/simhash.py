@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, session, ship, written
+from .common import remove, same, session, ship, written
 from .components import components
 
 BITS = 64
@@ -69,15 +69,16 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a long of the same bits. Null texts are empty."""
+    """(doc_id, th, fp): hash of the text, and fingerprint of each row as a long of the same bits. Null texts are empty."""
     ship(session(docs))
+    text = F.coalesce(docs[text_col], F.lit(""))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "th", "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(work, "doc_id long, fp long")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(work, "doc_id long, th long, fp long")
 
 
 def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -339,6 +340,17 @@ def links(fps: DataFrame, radius: int = RADIUS, *, parts: int | None = None, buc
         rows = written(rows.join(again, "key").select("key", "fp", "flags", "rest").mapInArrow(_divide, _ROWS), "probes")
 
 
+def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (fp, root) of all fingerprints; both written."""
+    spark = session(docs)
+    marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
+    classes = written(marked.select("fp").distinct(), "classes")
+    reached = written(components(links(classes, radius)), "reached")
+    named = written(classes.join(reached, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root")), "named")
+    remove(spark, classes, reached)
+    return marked, named
+
+
 def near_duplicates(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``.
 
@@ -348,17 +360,29 @@ def near_duplicates(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc
     but are no smallest id (null if no row has one). Repeated rows each give a row; an empty table
     gives none; other columns are not read.
     """
-    spark = session(docs)
-    marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    reached = written(components(links(classes, radius)), "reached")
-    named = written(classes.join(reached, F.col("fp") == F.col("node"), "left")
-                    .select("fp", "least", F.coalesce("root", "fp").alias("root")), "named")
-    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    marked, named = _grouped(docs, radius, id_col, text_col, shingle)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named, "fp")
+    roots = least.groupBy("root").agg(F.min("least").alias("component_id"))
     final = written(named.join(roots, "root").select("fp", "component_id"), "final")
-    remove(spark, classes, reached, named)
+    remove(session(docs), named)
     return marked.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, all columns as they are.
+
+    It is the row with the smallest id (null ids come last), then the smallest hash of the text; of
+    rows that agree in both any one.
+    """
+    marked, named = _grouped(docs, radius, id_col, text_col, shingle)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("th"))
+    first = marked.groupBy("fp").agg(F.min(order).alias("best")).join(named, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    stay = written(first.select(F.col("best.doc_id").alias("__doc"), F.col("best.th").alias("__th")), "stay")
+    hashed = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    kept = docs.join(stay.hint("merge"), same(docs[id_col], F.col("__doc")) & (hashed == F.col("__th")), "left_semi")
+    again = marked.join(stay, same(marked["doc_id"], F.col("__doc")) & (F.col("th") == F.col("__th")), "left_semi").groupBy("doc_id", "th").count().where("count > 1")
+    return kept if again.isEmpty() else kept.dropDuplicates([id_col, text_col])
+
+
 def hex_fingerprint(column: str = "fp") -> F.Column:
     return F.lpad(F.lower(F.hex(F.col(column))), 16, "0")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -294,11 +295,9 @@ def reject(docs: DataFrame, labels: DataFrame, categories: list[str], rejecting:
     sent = spark.sparkContext.broadcast(chain)
     at = categories.index(rejecting)
 
-    def toxic(texts: "pd.Series") -> "pd.Series":
-        import pandas as pd
-
+    @F.pandas_udf("boolean")
+    def toxic(texts: pd.Series) -> pd.Series:
         predictor = Predictor(sent.value)
         return pd.Series([bool(t) and predictor.log_odds(t)[at] > sent.value.thresholds[at] for t in texts], dtype=bool)
 
-    toxic.__annotations__ = {}
-    return docs.where(~F.pandas_udf(toxic, "boolean", F.PandasUDFType.SCALAR)(docs[text_col]))
+    return docs.where(~toxic(docs[text_col]))
