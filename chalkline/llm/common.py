@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Characters that separate words: space and the ASCII controls from tab to carriage return.
 SPACES = r"\x20\x09-\x0D"
+#: Bytes of a batch that goes to a Python worker, and the setting that holds them.
+BATCH_BYTES, ARROW_BYTES = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
 _ROOT = Path(__file__).resolve().parents[1]
 
 
@@ -66,8 +68,13 @@ def clear(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
+    """Let Python workers import this package, wherever the driver found it, and take batches of bounded size.
+
+    Long texts would make batches of Spark's default bytes; a limit that the user has set stays.
+    """
     context = spark.sparkContext
+    if spark.conf.get(ARROW_BYTES, None) in (None, "64m", "67108864", "67108864b"):
+        spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     if getattr(context, "_chalkline_shipped", False):
         return
     target = Path(tempfile.mkdtemp()) / f"{_ROOT.name}.zip"

@@ -27,6 +27,8 @@ from .tokens import encoder
 
 #: Classes of reciprocal lengths; pieces shorter than capacity/CLASSES are small.
 CLASSES = 32
+#: Ids in one batch that goes back to the executor.
+FLUSH = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -97,6 +99,11 @@ class Packer:
         return done
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+
+
 def pack(docs: DataFrame, tokenizer: str, end_id: int, *, capacity: int = 4096, classes: int = CLASSES,
          id_col: str = "doc_id", text_col: str = "text", by_word: bool = True) -> DataFrame:
     """Pieces of all documents (``SCHEMA``), ``ids`` little-endian unsigned 32-bit.
@@ -114,21 +121,20 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, capacity: int = 4096,
         number = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            done = packer.take()
-            for at in range(0, len(done), 20_000):
-                rows = done[at : at + 20_000]
-                cols: list[list] = [[], [], [], [], [], [], []]
-                for doc, start, length, sequence, offset in rows:
-                    entry = held[doc]
-                    ids = entry[1][4 * start : 4 * (start + length)]
-                    entry[2] -= length
-                    for col, value in zip(cols, (entry[0], start, length, ids, len(entry[1]) // 4, sequence, offset)):
-                        col.append(value)
-                    if entry[2] == 0:
-                        del held[doc]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+            rows: list[tuple] = []
+            size = 0
+            for doc, start, length, sequence, offset in packer.take():
+                entry = held[doc]
+                rows.append((entry[0], start, length, entry[1][4 * start : 4 * (start + length)], len(entry[1]) // 4, sequence, offset))
+                size += length
+                entry[2] -= length
+                if entry[2] == 0:
+                    del held[doc]
+                if size >= FLUSH:
+                    yield _batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _batch(rows)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -10,7 +10,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept in a worker's memo; a full memo becomes the old one, and the one before is dropped.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 160_000
 #: str.split() parts words at these, the tokenizer's own white space does not include them.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: A word of plain Latin letters, and ASCII marks (no apostrophe) behind it.
