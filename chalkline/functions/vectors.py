@@ -5,6 +5,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
+
+from chalkline.shipping import ship
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -45,7 +48,7 @@ def common_lines(a: list[str], b: list[str]) -> int:
     return len(b) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence of two arrays of lines; null if either is null."""
     return pd.Series([None if x is None or y is None else common_lines(list(x), list(y)) for x, y in zip(a, b)], dtype="Int32")
@@ -53,5 +56,6 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def line_share(a: Column, b: Column) -> Column:
     """Lines in common, in order, against the shorter of two arrays of lines; 0 if either is empty."""
+    ship()
     least = F.least(F.size(a), F.size(b))
     return F.when(least > 0, lcs_length(a, b) / least.cast("double")).otherwise(F.lit(0.0))
