@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import remove, session, ship, written
 
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE = 16_000
+SAMPLE = 12_000
 #: Features that a category's model uses, at most.
 FEATURES = 2_048
 FOLDS = 4
@@ -71,26 +71,25 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit_linear(rows: np.ndarray, cols: np.ndarray, n: int, y: np.ndarray, weight: np.ndarray, extra: np.ndarray, *, steps: int = 150, l2: float = 1e-4) -> Linear:
-    """``rows``/``cols``: document and feature of each occurrence. Adam on the whole sample."""
+def fit_linear(rows: np.ndarray, cols: np.ndarray, space: int, y: np.ndarray, weight: np.ndarray, extra: np.ndarray, *, steps: int = 150, l2: float = 1e-4) -> Linear:
+    """``rows``/``cols``: document and feature, below ``space``, of each occurrence. Adam on the whole sample."""
+    n = len(y)
     total = np.maximum(weight.sum(), 1e-12)
-    positive = (weight * y).sum()
-    base = float(np.clip(positive / total, 1e-4, 1 - 1e-4))
+    base = float(np.clip((weight * y).sum() / total, 1e-4, 1 - 1e-4))
     start = float(np.log(base / (1 - base)))
-    none = Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(extra.shape[1]), start)
     if y.min(initial=1) == y.max(initial=0):
-        return none
-    seen = np.bincount(cols, minlength=SPACE)
-    hit = np.bincount(cols, weights=y[rows], minlength=SPACE)
-    n1 = y.sum()
-    expected = seen * (n1 / n)
+        return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(extra.shape[1]), start)
+    seen = np.bincount(cols, minlength=space)
+    hit = np.bincount(cols, weights=y[rows], minlength=space)
+    expected = seen * (y.sum() / n)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = (hit - expected) ** 2 / expected + (hit - expected) ** 2 / (seen - expected)
         chi /= 1 - seen / (n + 1)
     chi[(np.maximum(hit, seen - hit) < LEAST_DOCS) | (seen == n)] = 0
-    chosen = np.sort(np.argsort(-np.nan_to_num(chi), kind="stable")[:FEATURES])
-    chosen = chosen[np.nan_to_num(chi)[chosen] > 0]
-    index = np.full(SPACE, -1, np.int32)
+    chi = np.nan_to_num(chi)
+    chosen = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
+    chosen = chosen[chi[chosen] > 0]
+    index = np.full(space, -1, np.int32)
     index[chosen] = np.arange(len(chosen))
     local = index[cols]
     r, c = rows[local >= 0], local[local >= 0]
@@ -109,8 +108,8 @@ def fit_linear(rows: np.ndarray, cols: np.ndarray, n: int, y: np.ndarray, weight
     return Linear(chosen, w[:k], w[k:-1], float(w[-1]))
 
 
-def _score(model: Linear, rows: np.ndarray, cols: np.ndarray, n: int, extra: np.ndarray) -> np.ndarray:
-    index = np.zeros(SPACE)
+def _score(model: Linear, rows: np.ndarray, cols: np.ndarray, space: int, n: int, extra: np.ndarray) -> np.ndarray:
+    index = np.zeros(space)
     index[model.features] = model.weights
     return np.bincount(rows, weights=index[cols], minlength=n) + extra @ model.earlier + model.constant
 
@@ -137,8 +136,18 @@ def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray]
             chain.models.append([Linear(none.features, none.weights, np.zeros(k), none.constant)])
             chain.thresholds.append(np.inf)
         return chain
-    rows = np.repeat(np.arange(n), [len(f) for f in features])
-    cols = np.concatenate(features).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
+    # features of enough documents, numbered anew; most are of one document alone
+    counts = np.zeros(SPACE, np.int32)
+    for f in features:
+        counts[f] += 1  # a document names a feature once
+    known = np.nonzero(counts >= LEAST_DOCS)[0]
+    number = np.full(SPACE, -1, np.int32)
+    number[known] = np.arange(len(known))
+    kept = [number[f[counts[f] >= LEAST_DOCS]] for f in features]
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in kept])
+    cols = np.concatenate(kept)
+    space = len(known)
+    del counts, number, kept
     fold = np.array([xxhash.xxh32_intdigest(str(i).encode(), 3) % FOLDS for i in ids])
     extra = np.zeros((n, 0))
     for k in range(len(categories)):
@@ -146,11 +155,11 @@ def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray]
         models, z = [], np.zeros(n)
         for f in range(FOLDS):
             train, test = fold != f, fold == f
-            back = np.cumsum(train) - 1
+            back = np.cumsum(train, dtype=np.int32) - 1
             mine = train[rows]
-            models.append(fit_linear(back[rows[mine]], cols[mine], int(train.sum()), y[train], w[train], extra[train]))
-            z[test] = _score(models[-1], rows, cols, n, extra)[test]
-        chain.models.append(models)
+            models.append(fit_linear(back[rows[mine]], cols[mine], space, y[train], w[train], extra[train]))
+            z[test] = _score(models[-1], rows, cols, space, n, extra)[test]
+        chain.models.append([Linear(known[m.features], m.weights, m.earlier, m.constant) for m in models])
         chain.thresholds.append(best_threshold(z, y, w))
         extra = np.column_stack([extra, np.clip(z, -8, 8)])
     return chain
