@@ -1,14 +1,16 @@
 r"""Line dedup by winnowing over line hashes, in DataFrame operations.
 
-A document is its sequence of lines that aren't blank. A window starts at a line and takes the
-fewest lines that hold ``min_words`` words together. Each window selects the least of its lines'
-hashes (the leftmost, in ties), and the selected lines are the document's fingerprints: a run that
-two places share and that holds ``min_words`` words holds a whole window, and so a fingerprint, at
-the same line of both. Fingerprints of one place only are dropped; the places of the others are
-extended to the left and right within their windows, and a window is repeated if the same lines
-stand at an earlier place, in order of (doc_id, text hash, line), that it does not overlap. Each
-window is matched with its first place only, never with all pairs of places. Windows of a repeated
-run overlap or adjoin, so that their lines make up the whole run, which is deleted.
+A text is its sequence of lines that aren't blank. Besides a newline, a line ends after the end of a
+sentence and before a capital letter, so that a passage is the same lines wherever it was put into a
+text, wrapped or joined with what stands around it. A window starts at a line and takes the fewest
+lines that hold ``min_words`` words together. Each window selects the least of its lines' hashes (the
+leftmost, in ties), and the selected lines are the text's fingerprints: a run that two places share
+and that holds ``min_words`` words holds a whole window, and so a fingerprint, at the same line of both.
+Fingerprints of one place only are dropped. The places of the others are extended to the left and
+right within their windows, and a window is repeated if the same lines stand at an earlier place, in
+order of (doc_id, text hash, line), that it does not overlap. Each window is matched with its first
+place only, never with all pairs of places. Windows of a repeated run overlap or adjoin, so that their
+lines make up the whole run, which is deleted.
 
 Lines are compared without white space at their ends. Blank lines inside a deleted run go with it.
 """
@@ -22,87 +24,103 @@ from .common import SPACES, remove, same, session, written
 
 #: Words that a repeated run holds at least.
 MIN_WORDS = 50
+#: Where a line ends: the pieces put together are the text.
+LINE_END = r"(?<=\n)|(?<=[.!?][\x20\t])|(?<=[\x20\t])(?=\p{Lu})"
+#: Lines that most windows have at most; only longer ones are looked at in full.
+USUAL = 12
+
+
+def pieces(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), LINE_END)
 
 
 def _trimmed(line: Column) -> Column:
     return F.regexp_replace(line, f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n")
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def windows(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each window: doc_id, th (text hash), at (its first line's number among lines that aren't
-    blank), n (its lines), first and last (line numbers in the text), mark (its fingerprint's hash),
-    mark_at (its line), run (hash of all its lines)."""
-    parts = F.transform(_lines(F.col("text")), lambda line, at: F.struct(at.alias("at"), _trimmed(line).alias("s")))
-    full = F.filter(parts, lambda x: x.s != "")
-    lines = F.transform(full, lambda x: F.struct(x["at"].alias("line"), F.xxhash64(x.s).alias("h"), F.size(F.split(x.s, f"[{SPACES}]+")).alias("w")))
-    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), lines.alias("lines"))
+def lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each text: doc_id, th (text hash), and arrays over its lines: h (hash), piece
+    (place among ``pieces``), n (lines of the window from there; 0 without one) and mark (place of its fingerprint among the lines)."""
+    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    parts = F.transform(pieces(F.col("text")), lambda line, at: F.struct(at.alias("piece"), _trimmed(line).alias("s")))
+    full = base.select("doc_id", _text_hash(F.col("text")).alias("th"), F.filter(parts, lambda x: x.s != "").alias("full"))
+    made = full.select("doc_id", "th", F.transform("full", lambda x: x["piece"]).alias("piece"), F.transform("full", lambda x: F.xxhash64(x.s)).alias("h"),
+                       F.transform("full", lambda x: F.size(F.split(x.s, f"[{SPACES}]+"))).alias("w"))
 
-    def upto(a: Column, i: Column) -> Column:
-        """Lines of the window from ``i``; 0 if the words do not suffice. No line has less than one word."""
+    def upto(i: Column, most: int) -> Column:
+        """Lines of the window from ``i`` if ``most`` suffice, else 0. No line has less than one word."""
         start = F.struct(F.lit(0).alias("w"), F.lit(0).alias("n"))
-        step = lambda acc, x: F.when(acc.w >= min_words, acc).otherwise(F.struct((acc.w + x.w).alias("w"), (acc.n + 1).alias("n")))
-        return F.aggregate(F.slice(a, i + 1, min_words), start, step, lambda acc: F.when(acc.w >= min_words, acc.n).otherwise(0))
-
-    sized = base.select("doc_id", "th", "lines", F.transform("lines", lambda x, i: upto(F.col("lines"), i)).alias("ns"))
+        step = lambda acc, w: F.when(acc.w >= min_words, acc).otherwise(F.struct((acc.w + w).alias("w"), (acc.n + 1).alias("n")))
+        return F.aggregate(F.slice(F.col("w"), i + 1, most), start, step, lambda acc: F.when(acc.w >= min_words, acc.n).otherwise(0))
 
-    def window(n: Column, i: Column) -> Column:
-        own = F.slice(F.col("lines"), i + 1, n)
-        least = F.array_min(F.transform(own, lambda x, k: F.struct(x.h.alias("h"), (i + k).alias("k"))))
-        return F.struct(i.alias("at"), n.alias("n"), F.get(F.col("lines"), i).line.alias("first"), F.get(F.col("lines"), i + n - 1).line.alias("last"),
-                        least.h.alias("mark"), least.k.alias("mark_at"), F.xxhash64(F.transform(own, lambda x: x.h)).alias("run"))
+    def size(i: Column) -> Column:
+        few = upto(i, min(USUAL, min_words))
+        return few if min_words <= USUAL else F.when(few > 0, few).otherwise(upto(i, min_words))
 
-    made = F.filter(F.transform("ns", lambda n, i: F.when(n > 0, window(n, i))), lambda x: x.isNotNull())
-    return sized.select("doc_id", "th", F.inline(made))
+    sized = made.select("doc_id", "th", "piece", "h", F.transform("w", lambda w, i: size(i)).alias("n"))
+    least = lambda n, i: i + F.array_position(F.slice(F.col("h"), i + 1, n), F.array_min(F.slice(F.col("h"), i + 1, n))).cast("int") - 1
+    return sized.select("doc_id", "th", "piece", "h", "n", F.transform("n", lambda n, i: F.when(n > 0, least(n, i))).alias("mark"))
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, th, gone): numbers of the lines to delete, of each document that has some."""
+    """(doc_id, th, gone, n_lines): the pieces to delete, of each text that has some, and how many lines they are."""
     spark = session(docs)
-    all_ = written(windows(docs, min_words, id_col=id_col, text_col=text_col), "windows")
+    all_ = written(lines(docs, min_words, id_col=id_col, text_col=text_col), "lines")  # before any filter, which would pull the lines' expression into its lambda
     # join positions: fingerprints at more than one place
-    place = F.struct("doc_id", "th", "mark_at")
-    marks = all_.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b"))).select("mark")
-    near = all_.join(marks, "mark", "left_semi").select("doc_id", "th", "at", "n", "first", "last", "run")
-    near = written(near, "near")
-    # extend: whole windows, each against its first place
+    at = F.explode(F.array_distinct(F.filter("mark", lambda m: m.isNotNull()))).alias("at")
+    marks = written(all_.select("doc_id", "th", "h", at).select("doc_id", "th", "at", F.get("h", F.col("at")).alias("mark")), "marks")
+    place = F.struct("doc_id", "th", "at")
+    shared = marks.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b"))).select("mark")
+    shared = written(shared, "shared")
+    kept = marks.join(shared, "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set("at").alias("kept"))
+    # extend: whole windows around these, each against its first place
+    near = all_.join(kept, same(F.col("doc_id"), F.col("k_doc")) & (F.col("th") == F.col("k_th")))
+    window = F.when(F.array_contains("kept", F.get("mark", F.col("i"))), F.struct(
+        F.col("i").alias("at"), F.get("n", F.col("i")).alias("n"), F.xxhash64(F.slice("h", F.col("i") + 1, F.get("n", F.col("i")))).alias("run")))
+    spans = near.select("doc_id", "th", "piece", "h", "n", "mark", "kept", F.explode(F.filter(F.sequence(F.lit(0), F.size("n") - 1), lambda i: F.get("n", i) > 0)).alias("i"))
+    spans = spans.select("doc_id", "th", "piece", window.alias("x")).where("x is not null")
+    spans = written(spans.select("doc_id", "th", "x.*", F.get("piece", F.col("x.at")).alias("first"), F.get("piece", F.col("x.at") + F.col("x.n") - 1).alias("last")), "windows")
     place = F.struct("doc_id", "th", "at", "n")
-    runs = near.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b")))
+    runs = spans.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b")))
     runs = written(runs.select("run", F.col("a.doc_id").alias("a_doc"), F.col("a.th").alias("a_th"), (F.col("a.at") + F.col("a.n")).alias("a_end")), "runs")
     elsewhere = ~same(F.col("doc_id"), F.col("a_doc")) | (F.col("th") != F.col("a_th"))
-    later = near.join(runs, "run").where(elsewhere | (F.col("at") >= F.col("a_end")))
-    gone = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    lines = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"]))))
-    out = written(gone.select("doc_id", "th", lines.alias("gone")), "gone")
-    remove(spark, all_, near, runs)
+    later = spans.join(runs, "run").where(elsewhere | (F.col("at") >= F.col("a_end")))
+    found = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "last")).alias("pieces"), F.collect_set(F.struct("at", "n")).alias("lines"))
+    whole = lambda spans_, a, b: F.array_distinct(F.flatten(F.transform(spans_, lambda s: F.sequence(a(s), b(s)))))
+    gone = whole("pieces", lambda s: s["first"], lambda s: s["last"])
+    n_lines = F.size(whole("lines", lambda s: s["at"], lambda s: s["at"] + s["n"] - 1))
+    out = written(found.select("doc_id", "th", gone.alias("gone"), n_lines.alias("n_lines")), "gone")
+    remove(spark, all_, marks, shared, spans, runs)
     return out
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated runs of lines deleted from the text, and ``lines_removed`` appended.
+    """``docs`` with repeated runs of lines deleted from the text, and ``lines_removed`` (in place of a column of that name).
 
     A null text stays null and an empty one empty; a document all of whose lines are repeated
     becomes empty. Rows that agree in id and text are one place and so are cut alike; rows
-    that share an id only are ordered by the hash of their text. A null id comes first. Only whole
-    lines are compared, so a text without line breaks is one line. Other columns stay.
+    that share an id only are ordered by the hash of their text. A null id comes first. Other columns
+    stay; names that begin with two underscores are taken.
     """
-    gone = repeated(docs, min_words, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
+    gone = repeated(docs, min_words, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("gone").alias("__gone"), F.col("n_lines").alias("__n"))
     text = docs[text_col]
-    joined = docs.join(gone.hint("merge"), same(docs[id_col], F.col("__doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__th")), "left")
-    lines = _lines(text)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    cut = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    kept = [F.when(F.col("__gone").isNull(), text).otherwise(cut).alias(c) if c == text_col else docs[c] for c in docs.columns]
-    return joined.select(*kept, F.coalesce(F.size("__gone"), F.lit(0)).alias("lines_removed"))
+    # one strategy at every size: texts are dealt by id and hash
+    joined = docs.join(gone.hint("merge"), same(docs[id_col], F.col("__doc")) & (_text_hash(text) == F.col("__th")), "left")
+    parts = pieces(text)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
+    cut = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "")
+    kept = [F.when(F.col("__gone").isNull(), text).otherwise(cut).alias(c) if c == text_col else docs[c] for c in docs.columns if c.lower() != "lines_removed"]
+    return joined.select(*kept, F.coalesce("__n", F.lit(0)).alias("lines_removed"))
 
 
 #: DuckDB SQL for ``dedup_lines`` on the table documents: doc_id, text and lines_removed. Lines stand for their hashes.
-#: Ids are taken to be distinct, as they are in the given tables.
+#: Ids are taken to be distinct, as they are in the given tables, and chr(1) to be in no text.
 SQL = r"""
-WITH l0 AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+WITH l0 AS (SELECT doc_id, string_split(regexp_replace(replace(regexp_replace(coalesce(text, ''), '([\x20\t])(\p{Lu})', '\1' || chr(1) || '\2', 'g'), chr(10), chr(10) || chr(1)), '([.!?][\x20\t])', '\1' || chr(1), 'g'), chr(1)) AS ls FROM documents),
 l1 AS (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS p FROM l0),
 l2 AS (SELECT doc_id, p, ls[p] AS raw, regexp_replace(ls[p], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS s FROM l1),
 l AS (SELECT doc_id, p, s, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k, len(regexp_split_to_array(s, '[\x20\x09-\x0D]+')) AS w FROM l2 WHERE s <> ''),
@@ -111,8 +129,8 @@ win AS (SELECT a.doc_id, a.k AS k1, count(*) AS n, min(b.p) AS first, max(b.p) A
         FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.before < a.before + 50 WHERE a.total - a.before >= 50 GROUP BY a.doc_id, a.k),
 one AS (SELECT run, doc_id AS a_doc, k1 + n AS a_end FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k1) AS r FROM win) WHERE r = 1),
 later AS (SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS p FROM win JOIN one USING (run) WHERE doc_id <> a_doc OR k1 >= a_end),
-kept AS (SELECT l2.doc_id, string_agg(l2.raw, chr(10) ORDER BY l2.p) AS text FROM l2 ANTI JOIN later ON l2.doc_id = later.doc_id AND l2.p = later.p GROUP BY l2.doc_id),
-n AS (SELECT doc_id, count(*) AS n FROM later GROUP BY doc_id)
+kept AS (SELECT l2.doc_id, string_agg(l2.raw, '' ORDER BY l2.p) AS text FROM l2 ANTI JOIN later ON l2.doc_id = later.doc_id AND l2.p = later.p GROUP BY l2.doc_id),
+n AS (SELECT l.doc_id, count(*) AS n FROM l JOIN later ON l.doc_id = later.doc_id AND l.p = later.p GROUP BY l.doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text, CAST(coalesce(n.n, 0) AS INTEGER) AS lines_removed
 FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
 """
