@@ -79,10 +79,10 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
 
     # the sketch: k least hashes, k by the item's size class
     hashed = own.withColumn("h", _shingle_hash(lengths))
-    sized = own.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_shingles"))
+    sized = own.groupBy(F.col("item_id").alias("i_id")).agg(F.count(F.lit(1)).alias("n_shingles"))  # a null id is an id
     size_class = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n_shingles"))))
     sized = written(sized.withColumn("sketch", F.least(F.col("n_shingles"), (F.floor(size_class * F.lit(1 - threshold) + F.lit(1e-9)) + 1).cast("long"))), "sizes")
-    sketches = (hashed.groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hs")).join(sized, "item_id")
+    sketches = (hashed.groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hs")).join(sized, same(F.col("item_id"), F.col("i_id")))
                 .select("item_id", F.explode(F.slice("hs", F.lit(1), F.col("sketch").cast("int"))).alias("h")))
     sketches = written(sketches, "sketches")
     top = sketches.agg(F.max("h")).first()[0]
@@ -98,10 +98,10 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
     held = held.select("doc_id", F.explode(F.array_distinct(F.concat(*[_texts(F.col("ws"), k) for k in lengths]))).alias("shingle"))
     hits = held.join(_small(own), "shingle").select("doc_id", "item_id", "shingle").distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_found"))
     share = F.col("n_found").cast("double") / F.col("n_shingles").cast("double")
-    scored = hits.join(_small(sized), "item_id").select("doc_id", "item_id", "n_shingles", "n_found", share.alias("containment"))
+    scored = hits.join(_small(sized), same(F.col("item_id"), F.col("i_id"))).select("doc_id", "item_id", "n_shingles", "n_found", share.alias("containment"))
     named = pairs.select(F.col("doc_id").alias("p_doc"), F.col("item_id").alias("p_item"))
     return (scored.where(F.col("containment") >= threshold - 1e-12)
-            .join(named, same(F.col("doc_id"), F.col("p_doc")) & (F.col("item_id") == F.col("p_item")), "left_semi"))
+            .join(named, same(F.col("doc_id"), F.col("p_doc")) & same(F.col("item_id"), F.col("p_item")), "left_semi"))
 
 
 def _shingle_hash(lengths: list[int]) -> Column:

@@ -55,10 +55,9 @@ class Packer:
         while length - start >= max(1, limit // self.classes):
             rest = length - start
             k = max(1, -(-limit // rest))
+            if k > 1 and limit // (k - 1) <= rest:  # a whole number of tokens fits one class up
+                k -= 1
             size = limit // k
-            if size > rest:
-                k += 1
-                size = limit // k
             bin_ = self.open.setdefault(k, [])
             bin_.append((doc, start, size))
             if len(bin_) == k:
