@@ -58,7 +58,9 @@ def vocabulary(segments: DataFrame, terms: list[str]) -> DataFrame | None:
     order = Window.partitionBy("job_id").orderBy("start", "seg_ord")
     text = F.coalesce(F.col("text"), F.lit(""))
     after = F.array_join(F.collect_list(F.substring(text, 1, longest)).over(order.rowsBetween(1, longest)), " ")
-    searched = F.concat(text, F.lit(" "), F.substring(after, 1, longest))
+    cut = F.substring(after, 1, longest)
+    # what is cut off goes on as a word: a term that would end there starts in a later segment and is found from it
+    searched = F.concat(text, F.lit(" "), cut, F.when(F.length(cut) >= longest, "_").otherwise(""))
     said = segments.select("job_id", searched.alias("text"))
     found = said.groupBy("job_id").agg(*[F.max(T.has_term(F.col("text"), F.lit(t))).alias(f"t{i}") for i, t in enumerate(terms)])
     checks = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"t{i}").alias("ok")) for i, t in enumerate(terms)])

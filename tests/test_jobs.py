@@ -110,6 +110,8 @@ def test_vocabulary(spark):
     got = {r.job_id: (r.total, r.found, r.missing) for r in evaluate.vocabulary(said, ["vector", "Container", "mutex", "const", "vector container"]).collect()}
     assert got["j"] == (5, 3, ["mutex", "const"]) and got["k"][1] == 0
     assert evaluate.vocabulary(said, []) is None
+    cut = spark.createDataFrame([("j", 0, 0.0, 1.0, "one", []), ("j", 1, 1.0, 2.0, "a bcdefg", []), ("j", 2, 2.0, 3.0, "x y", [])], schemas.table("segments"))
+    assert evaluate.vocabulary(cut, ["bc", "abcd", "bcdefg x y"]).first().missing == ["bc", "abcd"]
 
 
 def test_grounding(spark):
