@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chalkline import shipping
+
 #: Characters that separate words: space and the ASCII controls from tab to carriage return.
 SPACES = r"\x20\x09-\x0D"
 #: Bytes of a batch that goes to a Python worker, and the setting that holds them.
 BATCH_BYTES, ARROW_BYTES = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
-_ROOT = Path(__file__).resolve().parents[1]
 
 
 def session(df: DataFrame) -> SparkSession:
@@ -31,10 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
-    return f"{found.rstrip('/')}/chalkline-{spark.sparkContext.applicationId}"
+    # with its scheme, so that Spark and Arrow take it for the same folder
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    whole = whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+    return f"{whole.rstrip('/')}/chalkline-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -68,21 +72,13 @@ def clear(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it, and take batches of bounded size.
+    """Let Python workers import this package, and take batches of bounded size.
 
     Long texts would make batches of Spark's default bytes; a limit that the user has set stays.
     """
-    context = spark.sparkContext
     if spark.conf.get(ARROW_BYTES, None) in (None, "64m", "67108864", "67108864b"):
         spark.conf.set(ARROW_BYTES, BATCH_BYTES)
-    if getattr(context, "_chalkline_shipped", False):
-        return
-    target = Path(tempfile.mkdtemp()) / f"{_ROOT.name}.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(_ROOT.rglob("*.py")):
-            archive.write(source, source.relative_to(_ROOT.parent))
-    context.addPyFile(str(target))
-    context._chalkline_shipped = True
+    shipping.ship(spark)
 
 
 def partitions(spark: SparkSession) -> int:
