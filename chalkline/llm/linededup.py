@@ -3,11 +3,10 @@ r"""Line dedup by winnowing over line hashes, in DataFrame operations.
 A text is its sequence of lines that aren't blank. Besides a newline, a line ends after the end of a
 sentence and before a capital letter, so that a passage is the same lines wherever it was put into a
 text, wrapped or joined with what stands around it. A window starts at a line and takes the fewest
-lines that hold ``min_words`` words together. Each window selects the least of its lines' hashes (the
-leftmost, in ties), and the selected lines are the text's fingerprints: a run that two places share
-and that holds ``min_words`` words holds a whole window, and so a fingerprint, at the same line of both.
-Fingerprints of one place only are dropped. The places of the others are extended to the left and
-right within their windows, and a window is repeated if the same lines stand at an earlier place, in
+lines that hold ``min_words`` words together. Each window selects the least of its lines' hashes, and
+these are the text's fingerprints: a run that two places share and that holds ``min_words`` words holds a
+whole window, and so a fingerprint of both. Fingerprints of one place only are dropped. The places of
+the others are extended to the left and right to their whole windows, and a window is repeated if the same lines stand at an earlier place, in
 order of (doc_id, text hash, line), that it does not overlap. Each window is matched with its first
 place only, never with all pairs of places. Windows of a repeated run overlap or adjoin, so that their
 lines make up the whole run, which is deleted.
@@ -24,18 +23,42 @@ from .common import SPACES, remove, same, session, written
 
 #: Words that a repeated run holds at least.
 MIN_WORDS = 50
-#: Where a line ends: the pieces put together are the text.
-LINE_END = r"(?<=\n)|(?<=[.!?][\x20\t])|(?<=[\x20\t])(?=\p{Lu})"
-#: Lines that most windows have at most; only longer ones are looked at in full.
-USUAL = 12
+#: What a line ends with: the pieces put together are the text. And the same as the places between two
+#: characters, many times slower, for texts that hold the mark that is otherwise put there.
+LINE_END = r"[.!?][\x20\t]|[\x20\t](?=\p{Lu})|\n"
+BETWEEN = r"(?<=\n)|(?<=[.!?][\x20\t])|(?<=[\x20\t])(?=\p{Lu})"
+MARK = "\x01"
+#: Lines that most windows have at most, and more have: a window is looked for in so many lines first.
+USUAL = (9,)
+BASE = 1 << 20
 
 
 def pieces(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), LINE_END)
+    text = F.coalesce(text, F.lit(""))
+    return F.when(text.contains(MARK), F.split(text, BETWEEN)).otherwise(F.split(F.regexp_replace(text, LINE_END, f"$0{MARK}"), MARK))
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, f"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+
+
+def _odd(text: Column) -> Column:
+    """Whether words of the text may be parted by other than single spaces and line ends."""
+    odd = text.contains("  ")
+    for c in "\t\x0b\x0c\r":
+        odd = odd | text.contains(c)
+    return odd
+
+
+def _words(line: Column, odd: Column) -> Column:
+    """Words of a trimmed line; its spaces are counted where single ones part them."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(odd, F.size(F.split(line, f"[{SPACES}]+"))).otherwise(spaces + 1)
+
+
+def _let(array: Column, body) -> Column:
+    """``body`` of an array that is held as objects: of one read from a row, each slice would copy the whole."""
+    return F.get(F.transform(F.array(F.transform(array, lambda x: x)), body), F.lit(0))
 
 
 def _text_hash(text: Column) -> Column:
@@ -44,26 +67,24 @@ def _text_hash(text: Column) -> Column:
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each text: doc_id, th (text hash), and arrays over its lines: h (hash), piece
-    (place among ``pieces``), n (lines of the window from there; 0 without one) and mark (place of its fingerprint among the lines)."""
-    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    parts = F.transform(pieces(F.col("text")), lambda line, at: F.struct(at.alias("piece"), _trimmed(line).alias("s")))
-    full = base.select("doc_id", _text_hash(F.col("text")).alias("th"), F.filter(parts, lambda x: x.s != "").alias("full"))
-    made = full.select("doc_id", "th", F.transform("full", lambda x: x["piece"]).alias("piece"), F.transform("full", lambda x: F.xxhash64(x.s)).alias("h"),
-                       F.transform("full", lambda x: F.size(F.split(x.s, f"[{SPACES}]+"))).alias("w"))
+    (place among ``pieces``; null if no piece is blank, as places are then the same), n (lines of the window from there; 0 without one) and mark (its fingerprint: the least of its lines' hashes)."""
+    base = docs.select(docs[id_col].alias("doc_id"), _text_hash(docs[text_col]).alias("th"), F.transform(pieces(docs[text_col]), _trimmed).alias("all"), _odd(F.coalesce(docs[text_col], F.lit(""))).alias("odd"))
+    blank = F.array_contains("all", "")
+    full = base.select("doc_id", "th", "odd", F.when(blank, F.filter("all", lambda x: x != "")).otherwise(F.col("all")).alias("full"),
+                       F.when(blank, F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.get("all", i) != "")).alias("piece"))
+    made = full.select("doc_id", "th", "piece", F.transform("full", lambda x: F.xxhash64(x)).alias("h"), F.transform("full", lambda x: _words(x, F.col("odd")).cast("long") * BASE + 1).alias("w"))
 
-    def upto(i: Column, most: int) -> Column:
-        """Lines of the window from ``i`` if ``most`` suffice, else 0. No line has less than one word."""
-        start = F.struct(F.lit(0).alias("w"), F.lit(0).alias("n"))
-        step = lambda acc, w: F.when(acc.w >= min_words, acc).otherwise(F.struct((acc.w + w).alias("w"), (acc.n + 1).alias("n")))
-        return F.aggregate(F.slice(F.col("w"), i + 1, most), start, step, lambda acc: F.when(acc.w >= min_words, acc.n).otherwise(0))
+    def upto(ws: Column, i: Column, most: int) -> Column:
+        """Lines of the window from ``i`` if ``most`` suffice, else null. No line has less than one word."""
+        # words times BASE plus lines, as one number
+        step = lambda acc, w: F.when(acc >= min_words * BASE, acc).otherwise(acc + w)
+        return F.aggregate(F.slice(ws, i + 1, most), F.lit(0).cast("long"), step, lambda acc: F.when(acc >= min_words * BASE, (acc % BASE).cast("int")))
 
-    def size(i: Column) -> Column:
-        few = upto(i, min(USUAL, min_words))
-        return few if min_words <= USUAL else F.when(few > 0, few).otherwise(upto(i, min_words))
+    def size(ws: Column, i: Column) -> Column:
+        return F.coalesce(*[upto(ws, i, most) for most in sorted({min(k, min_words) for k in (*USUAL, min_words)})], F.lit(0))
 
-    sized = made.select("doc_id", "th", "piece", "h", F.transform("w", lambda w, i: size(i)).alias("n"))
-    least = lambda n, i: i + F.array_position(F.slice(F.col("h"), i + 1, n), F.array_min(F.slice(F.col("h"), i + 1, n))).cast("int") - 1
-    return sized.select("doc_id", "th", "piece", "h", "n", F.transform("n", lambda n, i: F.when(n > 0, least(n, i))).alias("mark"))
+    sized = made.select("doc_id", "th", "piece", "h", _let(F.col("w"), lambda ws: F.transform(ws, lambda w, i: size(ws, i))).alias("n"))
+    return sized.select("doc_id", "th", "piece", "h", "n", _let(F.col("h"), lambda hs: F.transform("n", lambda n, i: F.when(n > 0, F.array_min(F.slice(hs, i + 1, n))))).alias("mark"))
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,21 +92,23 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_
     spark = session(docs)
     all_ = written(lines(docs, min_words, id_col=id_col, text_col=text_col), "lines")  # before any filter, which would pull the lines' expression into its lambda
     # join positions: fingerprints at more than one place
-    at = F.explode(F.array_distinct(F.filter("mark", lambda m: m.isNotNull()))).alias("at")
-    marks = written(all_.select("doc_id", "th", "h", at).select("doc_id", "th", "at", F.get("h", F.col("at")).alias("mark")), "marks")
-    place = F.struct("doc_id", "th", "at")
-    shared = marks.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b"))).select("mark")
-    shared = written(shared, "shared")
-    kept = marks.join(shared, "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set("at").alias("kept"))
+    # (what is exploded holds no array, which every row would copy; a text with equal lines may have a mark twice)
+    twice = F.size("h") > F.size(F.array_distinct("h"))
+    marks = written(all_.select("doc_id", "th", twice.alias("twice"), F.explode(F.array_distinct(F.filter("mark", lambda m: m.isNotNull()))).alias("mark")), "marks")
+    # a repeated row counts as a place here, which only lets more through
+    shared = written(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("mark"), "shared")
+    kept = marks.join(shared, "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set("mark").alias("kept"))
     # extend: whole windows around these, each against its first place
     near = all_.join(kept, same(F.col("doc_id"), F.col("k_doc")) & (F.col("th") == F.col("k_th")))
-    window = F.when(F.array_contains("kept", F.get("mark", F.col("i"))), F.struct(
-        F.col("i").alias("at"), F.get("n", F.col("i")).alias("n"), F.xxhash64(F.slice("h", F.col("i") + 1, F.get("n", F.col("i")))).alias("run")))
-    spans = near.select("doc_id", "th", "piece", "h", "n", "mark", "kept", F.explode(F.filter(F.sequence(F.lit(0), F.size("n") - 1), lambda i: F.get("n", i) > 0)).alias("i"))
-    spans = spans.select("doc_id", "th", "piece", window.alias("x")).where("x is not null")
-    spans = written(spans.select("doc_id", "th", "x.*", F.get("piece", F.col("x.at")).alias("first"), F.get("piece", F.col("x.at") + F.col("x.n") - 1).alias("last")), "windows")
+
+    def window(hs: Column, i: Column) -> Column:
+        n = F.get("n", i)
+        return F.struct(i.alias("at"), n.alias("n"), F.xxhash64(F.slice(hs, i + 1, n)).alias("run"), F.coalesce(F.get("piece", i), i).alias("first"), F.coalesce(F.get("piece", i + n - 1), i + n - 1).alias("last"))
+
+    chosen = F.filter(F.sequence(F.lit(0), F.size("n") - 1), lambda i: (F.get("n", i) > 0) & F.array_contains("kept", F.get("mark", i)))
+    spans = written(near.select("doc_id", "th", F.inline(_let(F.col("h"), lambda hs: F.transform(chosen, lambda i: window(hs, i))))), "windows")
     place = F.struct("doc_id", "th", "at", "n")
-    runs = spans.groupBy("run").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~same(F.col("a"), F.col("b")))
+    runs = spans.groupBy("run").agg(F.min(place).alias("a"), F.count(F.lit(1)).alias("places")).where("places > 1")
     runs = written(runs.select("run", F.col("a.doc_id").alias("a_doc"), F.col("a.th").alias("a_th"), (F.col("a.at") + F.col("a.n")).alias("a_end")), "runs")
     elsewhere = ~same(F.col("doc_id"), F.col("a_doc")) | (F.col("th") != F.col("a_th"))
     later = spans.join(runs, "run").where(elsewhere | (F.col("at") >= F.col("a_end")))
@@ -110,9 +133,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "d
     text = docs[text_col]
     # one strategy at every size: texts are dealt by id and hash
     joined = docs.join(gone.hint("merge"), same(docs[id_col], F.col("__doc")) & (_text_hash(text) == F.col("__th")), "left")
-    parts = pieces(text)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    cut = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "")
+    # pieces are a column of their own: as an expression they would be made anew for each piece
+    joined = joined.withColumn("__pieces", F.when(F.col("__gone").isNotNull(), pieces(text)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__pieces") - 1), F.col("__gone"))
+    cut = F.array_join(F.transform(stay, lambda i: F.get("__pieces", i)), "")
     kept = [F.when(F.col("__gone").isNull(), text).otherwise(cut).alias(c) if c == text_col else docs[c] for c in docs.columns if c.lower() != "lines_removed"]
     return joined.select(*kept, F.coalesce("__n", F.lit(0)).alias("lines_removed"))
 
