@@ -92,9 +92,11 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_
     spark = session(docs)
     all_ = written(lines(docs, min_words, id_col=id_col, text_col=text_col), "lines")  # before any filter, which would pull the lines' expression into its lambda
     # join positions: fingerprints at more than one place
-    # (what is exploded holds no array, which every row would copy; a text with equal lines may have a mark twice)
-    twice = F.size("h") > F.size(F.array_distinct("h"))
-    marks = written(all_.select("doc_id", "th", twice.alias("twice"), F.explode(F.array_distinct(F.filter("mark", lambda m: m.isNotNull()))).alias("mark")), "marks")
+    # (what is exploded holds no array, which every row would copy; a line that a text has more than once is a second place)
+    ordered = all_.select("doc_id", "th", F.array_distinct("mark").alias("marks"), F.sort_array("h").alias("hs"))
+    again = ordered.select("doc_id", "th", "marks", F.filter("hs", lambda h, i: h == F.get("hs", i - 1)).alias("again"))
+    pairs = F.transform("marks", lambda m: F.struct(m.alias("mark"), F.array_contains("again", m).alias("twice")))
+    marks = written(again.select("doc_id", "th", F.inline(pairs)).where("mark is not null"), "marks")
     # a repeated row counts as a place here, which only lets more through
     shared = written(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("mark"), "shared")
     kept = marks.join(shared, "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set("mark").alias("kept"))
