@@ -375,6 +375,11 @@ def keep_one(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", t
     rows that agree in both any one.
     """
     marked, named = _grouped(docs, radius, id_col, text_col, shingle)
+    return keep_first(docs, marked, named, id_col=id_col, text_col=text_col)
+
+
+def keep_first(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """The first row of ``docs`` of each root, by (doc_id, th, fp) of all rows and (fp, root)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("th"))
     first = marked.groupBy("fp").agg(F.min(order).alias("best")).join(named, "fp").groupBy("root").agg(F.min("best").alias("best"))
     stay = written(first.select(F.col("best.doc_id").alias("__doc"), F.col("best.th").alias("__th")), "stay")
