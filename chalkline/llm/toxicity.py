@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import remove, session, ship, written
 
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE = 12_000
+SAMPLE = 16_000
 #: Features that a category's model uses, at most.
 FEATURES = 2_048
 FOLDS = 4
@@ -77,7 +77,7 @@ def fit_linear(rows: np.ndarray, cols: np.ndarray, space: int, y: np.ndarray, we
     total = np.maximum(weight.sum(), 1e-12)
     base = float(np.clip((weight * y).sum() / total, 1e-4, 1 - 1e-4))
     start = float(np.log(base / (1 - base)))
-    if y.min(initial=1) == y.max(initial=0):
+    if y.min(initial=1) >= y.max(initial=0):
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(extra.shape[1]), start)
     seen = np.bincount(cols, minlength=space)
     hit = np.bincount(cols, weights=y[rows], minlength=space)
@@ -115,8 +115,8 @@ def _score(model: Linear, rows: np.ndarray, cols: np.ndarray, space: int, n: int
 
 
 def best_threshold(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """Log-odds that give the best weighted F1, half-way to the next document below."""
-    if not (y > 0).any():
+    """Log-odds that give the best weighted F1, half-way to the next document below; none are enough where labels are of one kind."""
+    if not (y > 0).any() or (y > 0).all():
         return np.inf
     order = np.argsort(-z, kind="stable")
     zs, found = z[order], np.cumsum((weight * y)[order])
@@ -127,7 +127,7 @@ def best_threshold(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Chain:
-    """``labels`` and ``weights`` (documents x categories); documents lie in order of their ids."""
+    """``labels`` (NaN where none is given) and ``weights`` (documents x categories); documents lie in order of their ids."""
     n = len(ids)
     chain = Chain(categories)
     if n == 0:
@@ -152,15 +152,15 @@ def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray]
     extra = np.zeros((n, 0))
     for k in range(len(categories)):
         y, w = labels[:, k].astype(float), weights[:, k]
-        models, z = [], np.zeros(n)
+        models, z, given = [], np.zeros(n), ~np.isnan(y)
         for f in range(FOLDS):
-            train, test = fold != f, fold == f
+            train, test = (fold != f) & given, fold == f
             back = np.cumsum(train, dtype=np.int32) - 1
             mine = train[rows]
             models.append(fit_linear(back[rows[mine]], cols[mine], space, y[train], w[train], extra[train]))
             z[test] = _score(models[-1], rows, cols, space, n, extra)[test]
         chain.models.append([Linear(known[m.features], m.weights, m.earlier, m.constant) for m in models])
-        chain.thresholds.append(best_threshold(z, y, w))
+        chain.thresholds.append(best_threshold(z[given], y[given], w[given]))
         extra = np.column_stack([extra, np.clip(z, -8, 8)])
     return chain
 
@@ -214,6 +214,10 @@ def _picked(labels: DataFrame, categories: list[str], sample: int) -> tuple[list
     for c in categories:
         for r in labels.where(F.col(c) == 1).orderBy(*order).limit(sample // (2 * len(categories))).collect():
             rows[r.doc_id] = r
+        # negative ones may be few where other documents are labelled for other categories
+        if sum(r[c] == 0 for r in rows.values()) < sample // (2 * len(categories)):
+            for r in labels.where(F.col(c) == 0).orderBy(*order).limit(sample // (2 * len(categories))).collect():
+                rows[r.doc_id] = r
     whole = labels.agg(*[F.sum((F.col(c) == v).cast("long")) for c in categories for v in (0, 1)]).first()
     weights = {}
     for k, c in enumerate(categories):
@@ -223,7 +227,7 @@ def _picked(labels: DataFrame, categories: list[str], sample: int) -> tuple[list
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], *, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Chain:
-    """Fit the chain on labelled documents.
+    """Fit the chain on labelled documents, each category on those that are labelled for it.
 
     A label counts as given if it is 0 or 1; documents with several label rows have a category if
     any row says so; a label of an unknown document, or with a null id, is not used. Of rows that
@@ -232,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], *, sample:
     spark = session(docs)
     ship(spark)
     named = labels.select(F.col(id_col).alias("doc_id"), *[F.when(F.col(c).isin(0, 1), F.col(c)).alias(c) for c in categories]).where(F.col("doc_id").isNotNull())
-    one = written(named.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories]).dropna(), "labels")
+    one = written(named.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories]).dropna("all", subset=categories), "labels")
     rows, weight = _picked(one, categories, sample)
     remove(spark, one)
     if not rows:
@@ -267,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], *, sample:
     remove(spark, table)
     by_id = {r.doc_id: r for r in rows}
     y = np.array([[by_id[i][c] for c in categories] for i in ids[order].tolist()], float).reshape(-1, len(categories))
-    w = np.array([[weight[c][int(y[i, k])] for k, c in enumerate(categories)] for i in range(len(y))], float).reshape(-1, len(categories))
+    w = np.array([[0.0 if np.isnan(y[i, k]) else weight[c][int(y[i, k])] for k, c in enumerate(categories)] for i in range(len(y))], float).reshape(-1, len(categories))
     return fit_chain(categories, ids[order], features, y, w)
 
 

@@ -155,3 +155,14 @@ def test_toxicity_edges(spark, make):
         assert len(got) == 5 and not any(r.toxic_flag for r in got)
         assert toxicity.reject(make(rows), labels, ["quality", "toxic"], "toxic").count() == 5
     assert toxicity.score(make([]), toxicity.train(make([]), none, ["toxic"])).count() == 0
+
+
+def test_each_category_learns_from_its_own_labels(spark, make):
+    rng = random.Random(12)
+    rows = [(i, f"{sentence(rng, 30)} {'insultus maximus' if i % 3 == 0 else ''} {'bonus melior' if i % 2 else ''}") for i in range(300)]
+    # a document is labelled for one category alone
+    labels = [(i, i % 2 if i < 150 else None, None if i < 150 else int(i % 3 == 0)) for i in range(300)]
+    table, marks = make(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.score(table, toxicity.train(table, marks, ["quality", "toxic"])).collect()
+    assert all(r.toxic_flag == (r.doc_id % 3 == 0) and r.quality_flag == bool(r.doc_id % 2) for r in got)
+    assert toxicity.SAMPLE == 16_000
