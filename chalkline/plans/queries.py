@@ -106,9 +106,14 @@ def lookahead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document against the one before it of its source."""
-    order = Window.partitionBy("source", F.floor(F.col("doc_id") / 1000)).orderBy("doc_id")
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", T.lines(F.coalesce("text", F.lit(""))).alias("lines"))
-    pairs = docs.select("doc_id", F.lag("doc_id").over(order).alias("before_id"), "lines", F.lag("lines").over(order).alias("before")).where("before_id is not null")
+    order = Window.partitionBy("source", "block").orderBy("doc_id")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", F.floor(F.col("doc_id") / 1000).alias("block"), T.lines(F.coalesce("text", F.lit(""))).alias("lines"))
+    inside = docs.select("doc_id", F.lag("doc_id").over(order).alias("before_id"), "lines", F.lag("lines").over(order).alias("before")).where("before_id is not null")
+    # the first of a block follows the last of the source's block before; a row for each block
+    ends = docs.where("doc_id is not null").groupBy("source", "block").agg(F.min("doc_id").alias("doc_id"), F.min_by("lines", "doc_id").alias("lines"), F.max("doc_id").alias("last_id"), F.max_by("lines", "doc_id").alias("last"))
+    blocks = Window.partitionBy("source").orderBy("block")
+    seams = ends.select("doc_id", F.lag("last_id").over(blocks).alias("before_id"), "lines", F.lag("last").over(blocks).alias("before")).where("before_id is not null")
+    pairs = inside.unionByName(seams)
     return pairs.select("doc_id", "before_id", V.line_share(F.col("before"), F.col("lines")).alias("share"))
 
 

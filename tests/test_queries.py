@@ -58,3 +58,10 @@ def test_the_package_works_without_llm():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any("llm" in n.split(".") for n in names), path
+
+
+def test_line_share_crosses_blocks_of_ids(spark, tmp_path):
+    ids = [(1, "a"), (999, "b"), (1000, "a"), (1001, "b"), (1002, "a"), (5000, "b"), (5001, "a"), (1500, None), (2500, None)]
+    spark.createDataFrame([(i, s, f"same line\nline {i}") for i, s in ids], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.before_id for r in Q.line_share(spark, str(tmp_path)).collect()}
+    assert got == {1000: 1, 1002: 1000, 5001: 1002, 1001: 999, 5000: 1001, 2500: 1500}
