@@ -8,8 +8,8 @@ these are the text's fingerprints: a run that two places share and that holds ``
 whole window, and so a fingerprint of both. Fingerprints of one place only are dropped. The places of
 the others are extended to the left and right to their whole windows, and a window is repeated if the same lines stand at an earlier place, in
 order of (doc_id, text hash, line), that it does not overlap. Each window is matched with its first
-place only, never with all pairs of places. Windows of a repeated run overlap or adjoin, so that their
-lines make up the whole run, which is deleted.
+place only, never with all pairs of places. The lines of repeated windows are
+deleted; those at the end of a run, behind its last whole window, stay.
 
 Lines are compared without white space at their ends. Blank lines inside a deleted run go with it.
 """
