@@ -1,6 +1,6 @@
 """Token ids in Arrow's file format: fixed-size-list batches of equal-length sequences and masks.
 
-``write_tokens`` deals documents into ranges of ascending id, and each range becomes one shard:
+``write_tokens`` deals documents into ranges of ascending id, more of them for more bytes of input, and each range becomes one shard:
 ``shard-N.arrow``, whose record batches have the columns ``ids`` and ``mask``, each a
 fixed-size list of ``sequence_length`` values, and ``shard-N.index.arrow`` with the place of each
 document in the shard's run of ids. Both are uncompressed, so that a reader maps the file and
@@ -8,8 +8,9 @@ takes any sequence without copying (``open_sequences``). Only the last sequence
 masked places.
 
 Edge cases: a null or empty text is its end id alone; rows that share an id follow one another in
-order of their texts; a null id comes first; an empty table gives no shards and an empty index;
-other columns are not read.
+order of their texts, and may lie in several shards; a null id comes first; a very long text is encoded at once by
+one task and lies in as many batches as it needs; an empty table gives no shards and an empty
+index; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from .common import new_path, partitions, session, ship
 from .tokens import encoder, vocabulary_size
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
-#: Sequences in a record batch.
-BATCH = 512
+#: Sequences in a record batch, and documents in a batch of the index.
+BATCH, INDEX_BATCH = 512, 100_000
+#: Bytes of input for a shard, and characters of a text by which rows of one id are dealt.
+SHARD_BYTES, PREFIX = 256 << 20, 16
 
 
 def _schema(length: int, wide: bool) -> pa.Schema:
@@ -66,8 +69,10 @@ class _Shard:
         self.kind = np.uint32 if wide else np.uint16
         self.out = where.open_output_stream(f"{name}.arrow.{attempt}")
         self.writer = pa.ipc.new_file(self.out, self.schema)
+        self.index_out = where.open_output_stream(f"{name}.index.arrow.{attempt}")
+        self.index = pa.ipc.new_file(self.index_out, INDEX)
         self.held: list[np.ndarray] = []
-        self.n_held = self.total = 0
+        self.n_held = self.total = self.n_docs = 0
         self.rows: list[tuple] = []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
@@ -75,6 +80,8 @@ class _Shard:
         self.held.append(ids.astype(self.kind))
         self.n_held += len(ids)
         self.total += len(ids)
+        if len(self.rows) == INDEX_BATCH:
+            self._flush_index()
         if self.n_held >= self.length * BATCH:
             self._flush(self.n_held - self.n_held % (self.length * BATCH))
 
@@ -89,18 +96,30 @@ class _Shard:
             block = part[at : at + self.length * BATCH]
             self.writer.write_batch(_batch(self.schema, block, valid - at))
 
+    def _flush_index(self) -> None:
+        self.index.write_batch(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*self.rows)], schema=INDEX))
+        self.n_docs += len(self.rows)
+        self.rows = []
+
     def close(self) -> tuple[int, int]:
         if self.n_held:
             self._flush(self.n_held)
-        self.writer.close()
-        self.out.close()
-        with self.where.open_output_stream(f"{self.name}.index.arrow.{self.attempt}") as out, pa.ipc.new_file(out, INDEX) as writer:
-            for at in range(0, len(self.rows), 100_000):
-                part = list(zip(*self.rows[at : at + 100_000]))
-                writer.write_batch(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], schema=INDEX))
+        if self.rows:
+            self._flush_index()
+        for opened in (self.writer, self.out, self.index, self.index_out):
+            opened.close()
         for kind in ("arrow", "index.arrow"):
             self.where.move(f"{self.name}.{kind}.{self.attempt}", f"{self.name}.{kind}")
-        return self.total, len(self.rows)
+        return self.total, self.n_docs
+
+
+def _shards(docs: DataFrame) -> int:
+    """How many ranges: at least Spark's own number, and more if the optimizer's estimate of the input asks for it."""
+    least = partitions(session(docs))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:  # no estimate
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, -(-size // SHARD_BYTES))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, sequence_length: int = 2048,
@@ -118,20 +137,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, seq
         context = TaskContext.get()
         number = context.partitionId()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode_all(text.as_py() for text in batch.column(1))):
                 if shard is None:
                     where, base = pafs.FileSystem.from_uri(path)
                     where.create_dir(base, recursive=True)
                     shard = _Shard(where, f"{base}/shard-{number:06d}", context.taskAttemptId(), sequence_length, wide)
-                ids = np.frombuffer(own.encode(text.as_py()), "<u4")
                 shard.add(doc_id, np.append(ids, np.uint32(end_id)))
         if shard is not None:
             total, rows = shard.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int64()), "n_ids": pa.array([total], pa.int64()), "n_docs": pa.array([rows], pa.int64())})
 
-    # a range for each shuffle partition; the row's hash only parts repeated ids
-    dealt = (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-             .repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text"))
+    # the start of a text parts the rows of a repeated id
+    chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    dealt = chosen.repartitionByRange(_shards(chosen), F.col("doc_id"), F.substring("text", 1, PREFIX)).sortWithinPartitions("doc_id", "text")
     found = sorted((r.shard, r.n_ids) for r in dealt.mapInArrow(work, "shard long, n_ids long, n_docs long").collect())
     shards, before = [], 0
     for number, n_ids in found:
@@ -160,13 +178,11 @@ def read_tokens(spark: SparkSession, shards: list[tuple[int, str, int]], *, ids:
                 yield from _documents(pa.ipc.open_file(source), index, before, ids)
 
     table = spark.createDataFrame([(s, p, b) for s, p, b in shards], "shard long, stem string, before long")
-    return table.repartition(min(len(shards), 4096), "shard").mapInArrow(work, schema)
+    return table.repartition(min(len(shards), 4096)).mapInArrow(work, schema)
 
 
 def _documents(file: pa.ipc.RecordBatchFileReader, index: pa.Table, before: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     """Walk the batches once; a document may lie in several of them."""
-    starts, lengths = index["start"].to_numpy(), index["n_tokens"].to_numpy()
-    numbers = index["doc_id"].to_pylist()
     batch_at, flat, base = -1, np.zeros(0, np.uint32), 0  # flat: the valid ids of batch batch_at, of which base is the first
     rows: list[tuple] = []
     size = 0
@@ -176,7 +192,8 @@ def _documents(file: pa.ipc.RecordBatchFileReader, index: pa.Table, before: int,
         kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(kinds)])
 
-    for number, start, length in zip(numbers, starts.tolist(), lengths.tolist()):
+    listed = ((n, s, l) for part in index.to_batches() for n, s, l in zip(*(c.to_pylist() for c in part.columns)))
+    for number, start, length in listed:
         parts, at = [], start
         while at < start + length:
             while at >= base + len(flat):

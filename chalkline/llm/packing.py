@@ -9,8 +9,9 @@ alone; what its open bins hold at the end is laid end to end and cut into full s
 the last part, into powers of two.
 
 Edge cases: a null or empty text is a document of its end id alone; a repeated row is packed again
-as a document of its own; a null id stays null; an empty table gives no rows; other columns are
-not read.
+as a document of its own; a null id stays null; a very long text is encoded at once by one task and
+leaves it as full sequences, but for its end; an empty table gives no rows; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,6 +51,11 @@ class Packer:
             offset += length
         self.next += 1
 
+    def whole(self) -> int:
+        """The number of a sequence that one piece fills."""
+        self.next += 1
+        return self.next - 1
+
     def add(self, doc: object, length: int) -> None:
         start, limit = 0, self.capacity
         while length - start >= max(1, limit // self.classes):
@@ -107,43 +113,56 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, capacity: int = 4096,
          id_col: str = "doc_id", text_col: str = "text", by_word: bool = True) -> DataFrame:
     """Pieces of all documents (``SCHEMA``), ``ids`` little-endian unsigned 32-bit.
 
-    Documents are read once, without a shuffle. A worker holds the ids of pieces in open bins only:
-    at most one bin for each class.
+    Documents are read once, without a shuffle. Full sequences leave a worker at once. Of the rest of
+    a document, shorter than a sequence, it holds the ids until the last of its pieces leaves; one bin
+    of each class is open, so these are at most ``classes``**2 / 2 documents and those of the batch.
     """
     ship(session(docs))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, by_word)
         packer = Packer(capacity, classes, TaskContext.get().partitionId() << 36)
-        held: dict[int, list] = {}
-        end = np.asarray([end_id], "<u4").tobytes()
+        held: dict[int, list] = {}  # of a document's rest: id, ids, ids of the document, ids before it, ids still here
         number = 0
+        rows: list[tuple] = []
 
-        def out() -> Iterator[pa.RecordBatch]:
-            rows: list[tuple] = []
+        def left() -> Iterator[pa.RecordBatch]:
+            nonlocal rows
             size = 0
             for doc, start, length, sequence, offset in packer.take():
                 entry = held[doc]
-                rows.append((entry[0], start, length, entry[1][4 * start : 4 * (start + length)], len(entry[1]) // 4, sequence, offset))
-                size += length
-                entry[2] -= length
-                if entry[2] == 0:
+                rows.append((entry[0], entry[3] + start, length, entry[1][start : start + length].tobytes(), entry[2], sequence, offset))
+                entry[4] -= length
+                if entry[4] == 0:
                     del held[doc]
+                size += length
                 if size >= FLUSH:
                     yield _batch(rows)
                     rows, size = [], 0
             if rows:
                 yield _batch(rows)
+                rows = []
 
+        waiting = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = own.encode(text.as_py()) + end
-                held[number] = [doc_id, ids, len(ids) // 4]
-                packer.add(number, len(ids) // 4)
-                number += 1
-                if len(packer.done) >= 2_000:
-                    yield from out()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode_all(text.as_py() for text in batch.column(1))):
+                total = len(ids) + 1
+                full = total - total % capacity
+                ids = np.append(ids, np.uint32(end_id))
+                for start in range(0, full, capacity):
+                    rows.append((doc_id, start, capacity, ids[start : start + capacity].tobytes(), total, packer.whole(), 0))
+                    if len(rows) * capacity >= FLUSH:
+                        yield _batch(rows)
+                        rows = []
+                if full < total:
+                    held[number] = [doc_id, ids[full:].copy(), total, full, total - full]
+                    packer.add(number, total - full)
+                    number += 1
+                waiting += total % capacity
+                if waiting >= FLUSH:
+                    yield from left()
+                    waiting = 0
         packer.finish()
-        yield from out()
+        yield from left()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(work, SCHEMA)

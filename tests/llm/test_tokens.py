@@ -35,13 +35,27 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         wanted = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode(text), "<u4").tolist() == wanted, repr(text)
         assert np.frombuffer(whole.encode(text), "<u4").tolist() == wanted
-    assert own.encode(None) == b"" and own.parts
+    assert own.encode(None) == b"" and own.merges is not None
+    # many at once, and known pieces again
+    again = ODD + random_texts + ["x" * 50_000, None]
+    for text, ids in zip(again, own.encode_all(again)):
+        assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
-def test_full_memos_change_nothing(tokenizer, monkeypatch):
-    monkeypatch.setattr("chalkline.llm.tokens.MEMO_WORDS", 3)
+def test_pieces_that_share_a_slot(tokenizer, monkeypatch):
+    monkeypatch.setattr("chalkline.llm.tokens.SLOTS", 3)
+    monkeypatch.setattr("chalkline.llm.tokens.POOL", 64)
+    own, rng = Encoder(PATH), random.Random(5)
+    texts = [sentence(rng, 60) for _ in range(40)]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode_all(texts)):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_full_memo_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr("chalkline.llm.tokens.WORDS", 3)
     own = Encoder(PATH)
-    for text in ("a b c d e a b", "e d c, b. a", "f g h i a"):
+    for text in ("α b γ d ε a α", "e δ c, b. α", "f γ h ι a"):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
