@@ -90,5 +90,17 @@ def crc_of_id(column: str, modulus: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
 
 
+def absent(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        k = 0
+        while f"__{name}{k or ''}" in taken:
+            k += 1
+        out.append(f"__{name}{k or ''}")
+    return out
+
+
 def same(left: F.Column, right: F.Column) -> F.Column:
     return left.eqNullSafe(right)

@@ -26,25 +26,24 @@ def cut_lines(text):
 
 
 def brute_lines(rows, least=50):
-    """Windows of whole lines, each against its first place in order of (id, hash, line): pieces to delete, and their lines."""
-    places, out = {}, {}
+    """Maximal runs that two places share, by all pairs of places in order of (id, hash, line): pieces to delete, and their lines."""
+    docs = []
     for doc in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[2])):
         full = [(i, x.strip(" \t\n\x0b\x0c\r")) for i, x in enumerate(cut_lines(doc[1]))]
         full = [(i, x) for i, x in full if x]
-        gone, lines = set(), set()
-        for at in range(len(full)):
-            n = words = 0
-            while words < least and at + n < len(full):
-                words += len(re.split(r"[ \t-\r]+", full[at + n][1]))
-                n += 1
-            if words < least:
-                continue
-            run = tuple(x for _, x in full[at : at + n])
-            first = places.setdefault(run, (doc, at, at + n))
-            if first[0] != doc or at >= first[2]:
-                gone |= set(range(full[at][0], full[at + n - 1][0] + 1))
-                lines |= set(range(at, at + n))
-        out[doc] = gone, lines
+        docs.append((doc, full, [len(re.split(r"[ \t-\r]+", x)) for _, x in full]))
+    out = {doc: (set(), set()) for doc, _, _ in docs}
+    for at, (doc, full, counts) in enumerate(docs):
+        gone, lines = out[doc]
+        for first, earlier, _ in docs[: at + 1]:
+            for i in range(len(earlier)):
+                for j in range(i + 1 if first == doc else 0, len(full)):
+                    n = 0
+                    while i + n < len(earlier) and j + n < len(full) and earlier[i + n][1] == full[j + n][1] and (first != doc or i + n < j):
+                        n += 1
+                    if sum(counts[j : j + n]) >= least:
+                        gone |= set(range(full[j][0], full[j + n - 1][0] + 1))
+                        lines |= set(range(j, j + n))
     return out
 
 
@@ -84,6 +83,41 @@ def test_random_lines(spark, make):
     check_lines(spark, make, rows)
 
 
+def test_ends_of_runs_go(spark, make):
+    rng = random.Random(4)
+    long, short, middle = sentence(rng, 50), sentence(rng, 5), sentence(rng, 45)
+    own = lambda n=30: sentence(rng, n)
+    wanted = {(r[0], r[2]) for r in check_lines(spark, make, [(1, f"{long}\n{short}"), (2, f"{long}\n{short}"), (3, f"{own()}\n{long}\n\n{short}\n{middle}\n{own()}"), (4, f"{long}\n{short}\n{middle}"), (5, f"{middle}\n{long}\n{own()}"), (6, f"{middle}\n{long}\n{short}\n{middle}")])}
+    assert {(1, 0), (2, 2), (3, 2), (4, 3), (5, 1), (6, 4)} == wanted
+    # the first place of a window is not the one that its longest run is shared with
+    tail = [(1, long), (2, f"{long}\n{short}\n{own(9)}"), (3, f"{own(7)}\n{long}\n{short}")]
+    assert [r[2] for r in check_lines(spark, make, tail)] == [0, 1, 2]
+
+
+def test_random_runs(spark, make):
+    rng = random.Random(6)
+    pool = [sentence(rng, rng.choice([1, 3, 10, 20, 30, 49, 50, 51])) for _ in range(12)]
+    check_lines(spark, make, [(i % 40, "\n".join([*rng.choices([*pool, ""], k=rng.randint(0, 9)), *pool[(k := rng.randrange(9)) : k + rng.randint(1, 8)], sentence(rng, 2)])) for i in range(50)])
+
+
+def test_a_very_long_text(spark, make):
+    rng = random.Random(8)
+    long = ". ".join(sentence(rng, 9).capitalize() for _ in range(3000))
+    got = linededup.dedup_lines(make([(1, f"{long}."), (2, f"{long}. {sentence(rng, 40)}"), (3, sentence(rng, 30_000))])).collect()
+    wanted = {r.doc_id: (r.doc_id, r.text, r.lines_removed) for r in got}
+    assert wanted[1][2] == 0 and wanted[2][2] >= 3000 and wanted[3][2] == 0 and len(wanted[2][1].split()) == 40
+
+
+def test_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "x " * 60, 5, "a"), (2, "x " * 60, 6, "b")], "doc_id long, text string, __doc int, __TH string")
+    for c in ("__gone", "__n_lines", "__pieces", "th", "at", "run"):
+        docs = docs.withColumn(c, F.lit(c))
+    got = linededup.dedup_lines(docs)
+    assert got.columns == [*docs.columns, "lines_removed"] and [(r["__doc"], r.lines_removed) for r in got.orderBy("doc_id").collect()] == [(5, 0), (6, 1)]
+
+
 def test_passages_inside_lines(spark, make):
     rng = random.Random(2)
     passage = " ".join(sentence(rng, n).capitalize() + "." for n in (9, 14, 12, 18))
