@@ -9,8 +9,8 @@ place, in order of (doc_id, text hash, line), that it does not overlap; and so t
 run that a text shares with an earlier place.
 
 How it is found. A window starts at a line and takes the fewest lines that hold ``min_words`` words. Each
-window selects the least of its lines' hashes, and these minima are the text's fingerprints: a run that two
-places share holds a whole window, and so a fingerprint of both. Fingerprints are joined, and those of one place
+window selects the least hash of two lines in it that follow one another (of its line, if it is one), and these minima
+are the text's fingerprints: a run that two places share holds a whole window, and so a fingerprint of both. Fingerprints are joined, and those of one place
 dropped. The places of the others are extended to both sides: to the left by the windows that start
 before the fingerprint and hold it, to the right by those lines behind a run's last whole window that hold
 fewer than ``min_words`` words together, a line at a time. Each window, with or without such lines, is
@@ -34,6 +34,8 @@ MIN_WORDS = 50
 LINE_END = r"[.!?][\x20\t]|[\x20\t](?=\p{Lu})|\n"
 BETWEEN = r"(?<=\n)|(?<=[.!?][\x20\t])|(?<=[\x20\t])(?=\p{Lu})"
 MARK = "\x01"
+#: ``LINE_END`` without the newline, in texts without tabs.
+SPACE_END = r"[.!?] | (?=\p{Lu})"
 
 
 def pieces(text: Column) -> Column:
@@ -41,8 +43,12 @@ def pieces(text: Column) -> Column:
     return F.when(text.contains(MARK), F.split(text, BETWEEN)).otherwise(F.split(F.regexp_replace(text, LINE_END, f"$0{MARK}"), MARK))
 
 
-def _trimmed(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+def _trimmed(text: Column) -> Column:
+    """The pieces without white space at their ends; a text with none but single spaces and newlines has a faster way."""
+    text = F.coalesce(text, F.lit(""))
+    parts = F.split(F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(MARK)), SPACE_END, f"$0{MARK}"), MARK)
+    any_ = F.transform(pieces(text), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))
+    return F.when(_odd(text) | text.contains(MARK), any_).otherwise(F.transform(parts, F.trim))
 
 
 def _odd(text: Column) -> Column:
@@ -86,28 +92,28 @@ def _sizes(words: Column, min_words: int) -> Column:
 
 
 def _minima(hs: Column, sizes: Column, min_words: int) -> Column:
-    """The least hash of the window at each line, null without one; from the minima of 1, 2, 4, ... lines."""
+    """The fingerprint of the window at each line, null without one; from the minima of 1, 2, 4, ... pairs of lines."""
     most = F.array_max(sizes)
 
     def level(minima: dict[int, Column], size: int) -> Column:
-        if 2 * size > min_words:
+        if 2 * size >= min_words:
 
             def pick(n: Column, i: Column) -> Column:
-                of = lambda k: F.least(F.get(minima[k], i), F.get(minima[k], i + n - k))
-                return F.when(n > 0, F.coalesce(*[F.when(n < 2 * k, of(k)) for k in sorted(minima)]))
+                of = lambda k: F.least(F.get(minima[k], i), F.get(minima[k], i + n - (k + 1)))
+                return F.when(n > 1, F.coalesce(*[F.when(n <= 2 * k, of(k)) for k in sorted(minima)])).when(n == 1, F.get(hs, i))
 
             return F.transform(sizes, pick)
-        double = F.when(most >= 2 * size, F.transform(minima[size], lambda x, i: F.least(x, F.get(minima[size], i + size))))
+        double = F.when(most > 2 * size, F.transform(minima[size], lambda x, i: F.least(x, F.get(minima[size], i + size))))
         return _let(double, lambda made: level({**minima, 2 * size: made}, 2 * size))
 
-    return level({1: hs}, 1)
+    return _let(F.transform(hs, lambda h, i: F.xxhash64(h, F.get(hs, i + 1))), lambda pairs: level({1: pairs}, 1))
 
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each text: doc_id, th (text hash), and arrays over its lines: h (hash), piece
-    (place among ``pieces``; null if no piece is blank, as places are then the same), n (lines of the window from there; 0 without one) and mark (its fingerprint: the least of its lines' hashes)."""
+    (place among ``pieces``; null if no piece is blank, as places are then the same), n (lines of the window from there; 0 without one) and mark (its fingerprint)."""
     text = docs[text_col]
-    base = docs.select(docs[id_col].alias("doc_id"), _text_hash(text).alias("th"), F.transform(pieces(text), _trimmed).alias("all"), _odd(F.coalesce(text, F.lit(""))).alias("odd"))
+    base = docs.select(docs[id_col].alias("doc_id"), _text_hash(text).alias("th"), _trimmed(text).alias("all"), _odd(F.coalesce(text, F.lit(""))).alias("odd"))
     blank = F.array_contains("all", "")
     full = base.select("doc_id", "th", "odd", F.when(blank, F.filter("all", lambda x: x != "")).otherwise(F.col("all")).alias("full"),
                        F.when(blank, F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.get("all", i) != "")).alias("piece"))
@@ -207,8 +213,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "d
     doc, th, cut_, count, made = absent(docs, "doc", "th", "gone", "n_lines", "pieces")
     gone = gone.select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("gone").alias(cut_), F.col("n_lines").alias(count))
     text = docs[text_col]
-    # one strategy at every size: texts are dealt by id and hash
-    joined = docs.join(gone.hint("merge"), same(docs[id_col], F.col(doc)) & (_text_hash(text) == F.col(th)), "left")
+    # one strategy at every size: texts are dealt by id and hash, and need no order
+    joined = docs.join(gone.hint("shuffle_hash"), same(docs[id_col], F.col(doc)) & (_text_hash(text) == F.col(th)), "left")
     # pieces are a column of their own: as an expression they would be made anew for each piece
     joined = joined.withColumn(made, F.when(F.col(cut_).isNotNull(), pieces(text)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(made) - 1), F.col(cut_))
