@@ -34,8 +34,6 @@ MIN_WORDS = 50
 LINE_END = r"[.!?][\x20\t]|[\x20\t](?=\p{Lu})|\n"
 BETWEEN = r"(?<=\n)|(?<=[.!?][\x20\t])|(?<=[\x20\t])(?=\p{Lu})"
 MARK = "\x01"
-#: ``LINE_END`` without the newline, in texts without tabs.
-SPACE_END = r"[.!?] | (?=\p{Lu})"
 
 
 def pieces(text: Column) -> Column:
@@ -46,9 +44,12 @@ def pieces(text: Column) -> Column:
 def _trimmed(text: Column) -> Column:
     """The pieces without white space at their ends; a text with none but single spaces and newlines has a faster way."""
     text = F.coalesce(text, F.lit(""))
-    parts = F.split(F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(MARK)), SPACE_END, f"$0{MARK}"), MARK)
+    cut = F.replace(text, F.lit("\n"), F.lit(MARK))
+    for mark in ".!?":
+        cut = F.replace(cut, F.lit(f"{mark} "), F.lit(f"{mark}{MARK}"))
+    parts = F.split(F.regexp_replace(cut, r" (?=\p{Lu})", MARK), MARK)
     any_ = F.transform(pieces(text), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))
-    return F.when(_odd(text) | text.contains(MARK), any_).otherwise(F.transform(parts, F.trim))
+    return F.when(_odd(text) | text.contains(MARK), any_).otherwise(F.transform(parts, lambda x: F.trim(x)))
 
 
 def _odd(text: Column) -> Column:
