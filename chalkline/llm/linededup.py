@@ -126,8 +126,8 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_id"
 def _windows(all_: DataFrame, marks: DataFrame, shared: DataFrame) -> DataFrame:
     """A row for each window that holds a shared fingerprint: at, n, run (hash of its lines), first and last (pieces),
     and more, more_pieces: hashes and pieces of the lines it may be extended by."""
-    kept = marks.join(shared, "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set(F.struct("a", "b")).alias("kept"))
-    near = all_.join(kept, same(F.col("doc_id"), F.col("k_doc")) & (F.col("th") == F.col("k_th")))
+    kept = marks.join(shared.hint("shuffle_hash"), "mark", "left_semi").groupBy(F.col("doc_id").alias("k_doc"), F.col("th").alias("k_th")).agg(F.collect_set(F.struct("a", "b")).alias("kept"))
+    near = all_.join(kept.hint("shuffle_hash"), same(F.col("doc_id"), F.col("k_doc")) & (F.col("th") == F.col("k_th")))
 
     def window(hs: Column, i: Column) -> Column:
         n, following = F.get("n", i), F.get("n", i + 1)
@@ -172,7 +172,7 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, *, id_col: str = "doc_
         shared = hold(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select("mark"), "shared")
         spans = hold(_windows(all_, marks, shared), "windows")
         runs = hold(_first_places(spans, "run"), "runs")
-        later = spans.join(runs, "run").where(_is_later())
+        later = spans.join(runs.hint("shuffle_hash"), "run").where(_is_later())
         found = later.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("at", "n", "first", "last", "run", F.col("more").isNotNull().alias("more")))).alias("spans"))
         before = lambda i: F.get("spans", i - 1)
         # ends rise with starts, so a window adds what lies behind the one before it; nothing, if it ends where that does

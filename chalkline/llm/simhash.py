@@ -8,10 +8,10 @@ fingerprints as its estimate. It then probes, in partition i, the values within
 candidates are verified on all 64 bits.
 
 Equal fingerprints are one class from the start, so groups of copies are one row here. A bucket
-(fingerprints that meet at one partition value) of more than ``BUCKET`` is divided again: what
-is left of the bits is parted in four, two members within the radius agree on one part at least,
-and each part's value makes a smaller bucket, until the buckets are small or eight bits are left,
-which bound them by themselves. A bucket hands on a spanning forest of its verified links, not all
+(fingerprints that meet at one partition value) of more than ``BUCKET`` is divided again: the bits
+in which its members vary are dealt into one part more than the radius, two members within the radius agree on one
+part at least, and each part's value makes a smaller bucket, until the buckets are small or so few bits
+vary (eight, or one more than the radius) that these bound them by themselves. A bucket hands on a spanning forest of its verified links, not all
 pairs, and the forests have the same components as all the links.
 """
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, same, session, ship, written
+from .common import absent, remove, same, session, ship, written
 from .components import components
 
 BITS = 64
@@ -36,6 +36,10 @@ RADIUS = 3
 BUCKET = 256
 #: Rest bits at which a bucket is not divided any more.
 LEAST_BITS = 8
+#: The widest radius; one more would leave 13 bits, and so 8,192 members, in a bucket that is not divided any more.
+WIDEST = 11
+#: Partitions, where the radius allows as few.
+PARTS = 4
 #: Weight of one probe against one candidate in the allocation's cost.
 PROBE_COST = 1.0
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -237,18 +241,22 @@ def probes(fps: DataFrame, radius: int, parts: int) -> DataFrame:
     return fps.select("fp").mapInArrow(work, _ROWS)
 
 
-def _divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row in four buckets, one for each quarter of the bits that its bucket has left."""
-    for batch in batches:
-        key, fp, rest = (_column(batch, c).astype(np.int64).view(np.uint64) for c in ("key", "fp", "rest"))
-        flags = _column(batch, "flags").astype(np.int8)
-        for mask in np.unique(rest):
-            own = rest == mask
-            bits = np.array([b for b in range(BITS) if int(mask) >> b & 1])
-            for quarter in np.array_split(bits, 4):
-                part = np.uint64(sum(1 << int(b) for b in quarter))
-                made = _mix(_mix(key[own] ^ part) + (fp[own] & part))
-                yield _rows(made, fp[own], flags[own], np.full(own.sum(), mask & ~part, np.uint64))
+def _divide(radius: int):
+    """Each row in radius + 1 buckets, one for each part of the bits that vary in its bucket."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, fp, rest = (_column(batch, c).astype(np.int64).view(np.uint64) for c in ("key", "fp", "rest"))
+            flags = _column(batch, "flags").astype(np.int8)
+            for mask in np.unique(rest):
+                own = rest == mask
+                bits = np.array([b for b in range(BITS) if int(mask) >> b & 1])
+                for chosen in np.array_split(bits, radius + 1):
+                    part = np.uint64(sum(1 << int(b) for b in chosen))
+                    made = _mix(_mix(key[own] ^ part) + (fp[own] & part))
+                    yield _rows(made, fp[own], flags[own], np.full(own.sum(), mask & ~part, np.uint64))
+
+    return work
 
 
 def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
@@ -317,27 +325,42 @@ def _verify(radius: int):
 
 
 def links(fps: DataFrame, radius: int = RADIUS, *, parts: int | None = None, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` whose components are those of all links within the radius.
+    """Links (a, b) between distinct fingerprints ``fp``, written, whose components are those of all links within the radius.
 
-    ``parts`` is 4 for up to four million fingerprints, then 3; more bits in a partition keep buckets small.
+    ``parts`` is four, or as many as the radius asks for: at most one more than it, or a partition
+    would be ignored, and at least half of that, as no threshold is above one. The radius is 0 to ``WIDEST``.
     """
     spark = session(fps)
     ship(spark)
-    if parts is None:
-        parts = min(radius + 1, 4) if fps.count() <= 4_000_000 else min(radius + 1, 3)
-    rows, level = written(probes(fps, radius, parts), "probes"), BITS
-    out = None
+    if not 0 <= radius <= WIDEST:
+        raise ValueError(f"radius {radius} is not 0 to {WIDEST}")
+    least, most = -(-(radius + 1) // 2), radius + 1
+    parts = min(max(PARTS, least), most) if parts is None else parts
+    if not least <= parts <= most:
+        raise ValueError(f"{parts} partitions for radius {radius}: {least} to {most} serve")
+    rows = written(probes(fps, radius, parts), "probes")
+    out: list[DataFrame] = []
     while True:
-        counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_or("flags").alias("any"), F.min(F.bit_count("rest")).alias("left")).where("n > 1"), "buckets")
-        large = (F.col("n") > bucket) & (F.col("left") > LEAST_BITS)
+        vary = F.bit_or("rest").bitwiseAND(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")))
+        counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), vary.alias("vary")).where("n > 1"), "buckets")
+        large = (F.col("n") > bucket) & (F.bit_count("vary") > max(LEAST_BITS, radius + 1))
         small = (rows.join(counts.where(~large).select("key"), "key")
                  .groupBy("key").agg(F.collect_list(F.struct("fp", "flags")).alias("members")).select("members"))
-        found = written(small.mapInArrow(_verify(radius), "a long, b long").distinct(), "found")
-        out = found if out is None else out.unionByName(found)
-        again = counts.where(large).select("key")
-        if again.isEmpty():
-            return out
-        rows = written(rows.join(again, "key").select("key", "fp", "flags", "rest").mapInArrow(_divide, _ROWS), "probes")
+        out.append(written(small.mapInArrow(_verify(radius), "a long, b long").distinct(), "found"))
+        again = counts.where(large).select("key", F.col("vary").alias("rest"))
+        deeper = None if again.isEmpty() else written(rows.drop("rest").join(again, "key").select("key", "fp", "flags", "rest").mapInArrow(_divide(radius), _ROWS), "probes")
+        remove(spark, rows, counts)
+        if deeper is None:
+            break
+        rows = deeper
+    if len(out) == 1:
+        return out[0]
+    all_ = out[0]
+    for found in out[1:]:
+        all_ = all_.unionByName(found)
+    all_ = written(all_, "found")
+    remove(spark, *out)
+    return all_
 
 
 def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, shingle: int) -> tuple[DataFrame, DataFrame]:
@@ -345,9 +368,10 @@ def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, shingle:
     spark = session(docs)
     marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
     classes = written(marked.select("fp").distinct(), "classes")
-    reached = written(components(links(classes, radius)), "reached")
+    close = links(classes, radius)
+    reached = written(components(close), "reached")
     named = written(classes.join(reached, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root")), "named")
-    remove(spark, classes, reached)
+    remove(spark, classes, close, reached)
     return marked, named
 
 
@@ -355,7 +379,7 @@ def near_duplicates(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc
     """(doc_id, fp, component_id) for each row of ``docs``.
 
     Words are what white space leaves, ASCII letters lower-cased; documents without words have
-    fingerprint 0 and are linked like any other. component_id is the smallest id that links within
+    fingerprint 0 and are linked like any other; a very long text is one fingerprint, its hashes held by one task. component_id is the smallest id that links within
     the radius reach, the own id included. Rows with a null id are in their fingerprint's group,
     but are no smallest id (null if no row has one). Repeated rows each give a row; an empty table
     gives none; other columns are not read.
@@ -372,7 +396,8 @@ def keep_one(docs: DataFrame, *, radius: int = RADIUS, id_col: str = "doc_id", t
     """One row of ``docs`` for each group of near-duplicates, all columns as they are.
 
     It is the row with the smallest id (null ids come last), then the smallest hash of the text; of
-    rows that agree in both any one.
+    rows that agree in both any one. Null texts count as empty; an empty table stays empty; column names may
+    be any.
     """
     marked, named = _grouped(docs, radius, id_col, text_col, shingle)
     return keep_first(docs, marked, named, id_col=id_col, text_col=text_col)
@@ -382,10 +407,12 @@ def keep_first(docs: DataFrame, marked: DataFrame, named: DataFrame, *, id_col:
     """The first row of ``docs`` of each root, by (doc_id, th, fp) of all rows and (fp, root)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("th"))
     first = marked.groupBy("fp").agg(F.min(order).alias("best")).join(named, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    stay = written(first.select(F.col("best.doc_id").alias("__doc"), F.col("best.th").alias("__th")), "stay")
+    doc, th = absent(docs, "doc", "th")
+    stay = written(first.select(F.col("best.doc_id").alias(doc), F.col("best.th").alias(th)), "stay")
     hashed = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    kept = docs.join(stay.hint("merge"), same(docs[id_col], F.col("__doc")) & (hashed == F.col("__th")), "left_semi")
-    again = marked.join(stay, same(marked["doc_id"], F.col("__doc")) & (F.col("th") == F.col("__th")), "left_semi").groupBy("doc_id", "th").count().where("count > 1")
+    kept = docs.join(stay.hint("merge"), same(docs[id_col].cast("long"), F.col(doc)) & (hashed == F.col(th)), "left_semi")
+    mine = stay.select(F.col(doc).alias("s_doc"), F.col(th).alias("s_th"))
+    again = marked.join(mine, same(F.col("doc_id"), F.col("s_doc")) & (F.col("th") == F.col("s_th")), "left_semi").groupBy("doc_id", "th").count().where("count > 1")
     return kept if again.isEmpty() else kept.dropDuplicates([id_col, text_col])
 
 

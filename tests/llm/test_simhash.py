@@ -84,6 +84,28 @@ def test_links_have_the_components_of_all_pairs(spark, parts, bucket):
     assert groups(found) == groups(brute_roots([signed(v) for v in values]))
 
 
+@pytest.mark.parametrize("radius", range(1, 9))
+def test_every_radius(spark, radius):
+    rng = random.Random(radius)
+    # few bits and small buckets, so that buckets are divided again and again
+    values = {rng.getrandbits(26) << 11 for _ in range(300)} | {rng.getrandbits(64) for _ in range(20)}
+    table = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    found = {r.node: r.root for r in components.components(simhash.links(table, radius, bucket=8)).collect()}
+    assert groups(found) == groups(brute_roots([signed(v) for v in values], radius))
+
+
+def test_radii_and_partitions_that_do_not_serve(spark):
+    table = spark.createDataFrame([(1,)], "fp long")
+    for radius, parts in ((-1, None), (12, None), (3, 1), (3, 5), (8, 4)):
+        with pytest.raises(ValueError):
+            simhash.links(table, radius, parts=parts)
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 1, 2, 3, 4), (2, "a b c d", 5, 6, 7, 8)], "doc_id long, text string, __doc int, __TH int, fp int, th int")
+    assert [r["__doc"] for r in simhash.keep_one(docs).collect()] == [1] and simhash.keep_one(docs).columns == docs.columns
+
+
 def test_thresholds_cost_least_and_sum_up():
     rng = np.random.default_rng(0)
     cost = rng.uniform(0, 100, (50, 4, 2))
