@@ -22,10 +22,10 @@ from .common import crc_of_id, session, ship
 
 SEGMENT = 96
 HIDDEN = 12
-#: Documents of each language, at most, that the network is trained on, and bytes taken of each.
-PER_LANGUAGE, TRAIN_BYTES = 1_000, 384
-#: Languages at most; of more, the most frequent are learned.
-LANGUAGES = 200
+#: Documents of each language, at most, that the network is trained on, and of all (of more languages, each gives fewer).
+PER_LANGUAGE, SAMPLE = 1_000, 100_000
+#: Characters taken of each, from a place anywhere in its text.
+TRAIN_CHARS = 384
 #: The code of "no byte" at the end of a last segment.
 PAD = 256
 BATCH = 4096
@@ -189,19 +189,22 @@ def train(docs: DataFrame, *, modulus: int = 5, per_language: int = PER_LANGUAGE
     """Train on text and language of documents whose crc32 of the id, modulo ``modulus``, is not 0.
 
     Each language gives at most ``per_language`` documents, spread over all of its own by a hash of
-    the id. Rows with a null id, text or language, or without a letter, teach nothing.
+    the id, and of each ``TRAIN_CHARS`` characters from a place in the whole text by that hash. Every language
+    is learned, however many there are. Rows with a null id, text or language teach nothing, nor does a
+    piece without a letter. Ids may be of any type.
     """
     known = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     known = known.where((crc_of_id("doc_id", modulus) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # a row for each language
     if not counts:
         return new_network([])
     # a share of each language that makes enough of them, all if they are few; then no more than that
-    near = F.lit(False)
+    per_language = max(1, min(per_language, SAMPLE // len(counts)))
+    shares = session(docs).createDataFrame([(lang, min(1.0, 1.2 * per_language / n + 20.0 / n)) for lang, n in counts], "s_lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    for row in counts:
-        near = near | ((F.col("lang") == row[0]) & (draw < min(1.0, 1.2 * per_language / row[1] + 20.0 / row[1])))
-    drawn = known.where(near).select("lang", "doc_id", F.substring("text", 1, 4 * TRAIN_BYTES).alias("text"), draw.alias("draw")).orderBy("draw", "doc_id", "text")
+    place = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1) + 1
+    near = known.withColumn("draw", draw).join(shares, F.col("lang") == F.col("s_lang")).where("draw < share")
+    drawn = near.select("lang", "doc_id", F.substring("text", place.cast("int"), F.lit(TRAIN_CHARS)).alias("text"), "draw").orderBy("draw", "doc_id", "text")
     texts: list[str] = []
     labels: list[str] = []
     had: dict[str, int] = {}
@@ -209,23 +212,17 @@ def train(docs: DataFrame, *, modulus: int = 5, per_language: int = PER_LANGUAGE
         if had.get(row.lang, 0) >= per_language or not _LETTER.search(row.text):
             continue
         had[row.lang] = had.get(row.lang, 0) + 1
-        texts.append(_piece(row.text, row.doc_id))
+        texts.append(row.text)
         labels.append(row.lang)
     return train_network(texts, labels, **options)
 
 
-def _piece(text: str, doc_id: int) -> str:
-    """Training takes up to TRAIN_BYTES of a document, from a place that depends on its id."""
-    spare = max(0, len(text) - TRAIN_BYTES)
-    at = (doc_id * 2654435761) % (spare + 1)
-    return text[at : at + TRAIN_BYTES]
-
-
 def predict(docs: DataFrame, net: Network, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score): the likeliest language of the whole text and its pooled probability.
 
-    A null text, one without a letter, or a network without languages gives ``und`` and 0. Repeated
-    rows each give a row; an empty table gives none; other columns are not read.
+    A null text, one without a letter, or a network without languages gives ``und`` and 0. A very long
+    text is read whole, a bounded number of its segments at a time. Repeated rows each give a row; an
+    empty table gives none; other columns are not read; ids may be of any type.
     """
     spark = session(docs)
     ship(spark)
@@ -254,4 +251,5 @@ def predict(docs: DataFrame, net: Network, *, id_col: str = "doc_id", text_col:
                     names, scores = [UNKNOWN] * len(data), [0.0] * len(data)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, at - first), pa.array(names), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(work, "doc_id long, lang_pred string, score double")
+    chosen = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return chosen.mapInArrow(work, f"doc_id {dict(chosen.dtypes)['doc_id']}, lang_pred string, score double")

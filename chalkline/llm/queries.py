@@ -34,7 +34,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     net = langid.train(docs, modulus=5)
     found = langid.predict(docs, net)
-    return found.select("doc_id", (crc_of_id("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(crc_of_id("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,12 @@ estimate of the inner product with any query, and give the estimate's error boun
 is scanned for all queries by their codes; a vector is reranked on its original coordinates unless
 the upper bound of its estimate stays below the query's fifth best lower bound (or exact value)
 so far. Codes, scalars and vectors of all rows are written as a table of blocks, which queries in
-blocks of bounded size are broadcast to; each block of rows returns its best few for each query,
-and these are merged by a window of that many rows for each block.
+blocks of bounded size are broadcast to; a task keeps the best few of all its blocks for each query, with
+whose scores it also closes rows, and these are merged by a window of that many rows for each task.
 
 The score is computed in double precision coordinate by coordinate, in order, so that equal
-vectors have equal scores wherever they lie.
+vectors have equal scores wherever they lie. A vector is first scaled by a power of two to a largest
+component near 1: that changes no cosine, and keeps squares of very large and small ones finite.
 """
 
 from __future__ import annotations
@@ -98,8 +99,27 @@ def estimate(q: Quantizer, codes: Codes, queries: np.ndarray) -> tuple[np.ndarra
     return along + codes.lean[None, :] + (queries @ q.centre - q.centre @ q.centre)[:, None], error
 
 
-def search_block(q: Quantizer, codes: Codes, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, bound: float = BOUND) -> Iterator[tuple]:
-    """(query id, row id, score): the block's best ``k`` rows for each query, the query's own row left out."""
+class Best:
+    """The best ``k`` rows of each query so far: scores and ids, best first."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.k = k
+        self.scores = np.full((n, k), -np.inf)
+        self.ids = np.full((n, k), np.iinfo(np.int64).max)
+
+    def merge(self, i: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        scores, ids = np.concatenate([self.scores[i], scores]), np.concatenate([self.ids[i], ids])
+        at = np.lexsort((ids, -scores))[: self.k]
+        self.scores[i], self.ids[i] = scores[at], ids[at]
+
+    def rows(self, query_ids: np.ndarray) -> pa.RecordBatch:
+        some = self.scores > -np.inf
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, some.sum(axis=1))), pa.array(self.ids[some]), pa.array(self.scores[some])], names=["query_id", "vec_id", "score"])
+
+
+def search_block(q: Quantizer, codes: Codes, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: Best, bound: float = BOUND) -> None:
+    """Merge the block's best rows for each query into ``best``, the query's own row left out."""
+    k = best.k
     row_norms, query_norms = norms(vectors), norms(queries)
     unit = queries / query_norms[:, None]
     for first in range(0, len(queries), 128):
@@ -110,7 +130,7 @@ def search_block(q: Quantizer, codes: Codes, ids: np.ndarray, vectors: np.ndarra
         own = query_ids[part][:, None] == ids[None, :]
         low = np.where(own, -np.inf, near - error)
         kth = min(k, len(ids)) - 1
-        floor = -np.partition(-low, kth, axis=1)[:, kth]
+        floor = np.maximum(-np.partition(-low, kth, axis=1)[:, kth] if k <= len(ids) else -np.inf, best.scores[part, -1] - 1e-9)
         open_ = (near + error >= floor[:, None]) & ~own
         for i in range(len(near)):
             at = np.nonzero(open_[i])[0]
@@ -119,14 +139,13 @@ def search_block(q: Quantizer, codes: Codes, ids: np.ndarray, vectors: np.ndarra
             head = at[: 8 * k]
             score = _rerank(vectors, row_norms, head, queries[first + i], query_norms[first + i])
             if len(at) > len(head):
-                least = -np.partition(-score, k - 1)[k - 1]
+                least = max(-np.partition(-score, k - 1)[k - 1], best.scores[first + i, -1])
                 rest = at[8 * k :]
-                rest = rest[(near[i] + error[i])[rest] >= least]
+                rest = rest[(near[i] + error[i])[rest] >= least - 1e-9]
                 score = np.concatenate([score, _rerank(vectors, row_norms, rest, queries[first + i], query_norms[first + i])])
                 head = np.concatenate([head, rest])
-            best = np.lexsort((ids[head], -score))[:k]
-            for j in best:
-                yield int(query_ids[first + i]), int(ids[head[j]]), float(score[j])
+            if len(head):
+                best.merge(first + i, score, ids[head])
 
 
 def _rerank(vectors: np.ndarray, row_norms: np.ndarray, at: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
@@ -138,13 +157,13 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.transform(vectors[vector_col], lambda x: x.cast("double"))
     made = vectors.select(vectors[id_col].cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    square = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
-    return made.where(fine).where((square > 0) & (square < float("inf")))
+    return made.where(fine).where(F.exists("v", lambda x: x != 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    """Rows of vectors, each scaled by a power of two."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
 
 
 _BLOCK = "ids binary, vectors binary, bits binary, far binary, fit binary, lean binary"
@@ -205,7 +224,7 @@ def nearest(vectors: DataFrame, *, k: int = 5, every: int = 50, bound: float = B
         found = best if found is None else found.unionByName(best)
     if found is None:
         return spark.createDataFrame([], out)
-    # k rows of each block of rows for a query
+    # k rows of each task for a query
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
@@ -213,15 +232,15 @@ def nearest(vectors: DataFrame, *, k: int = 5, every: int = 50, bound: float = B
 def _search(sent, these, dimension: int, k: int, bound: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, (query_ids, queries) = sent.value, these.value
+        best = Best(len(queries), k)
         for batch in batches:
             for i in range(batch.num_rows):
                 cell = {name: batch.column(name)[i].as_buffer() for name in batch.schema.names}
                 ids = np.frombuffer(cell["ids"], "<i8")
                 take = lambda name, kind=np.float64: np.frombuffer(cell[name], kind)  # noqa: B023, E731
                 codes = Codes(take("bits", np.uint8).reshape(len(ids), -1), take("far"), take("fit"), take("lean"))
-                rows = list(search_block(q, codes, ids, take("vectors").reshape(len(ids), dimension), query_ids, queries, k, bound))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
+                search_block(q, codes, ids, take("vectors").reshape(len(ids), dimension), query_ids, queries, best, bound)
+        yield best.rows(query_ids)
 
     return work
 

@@ -302,15 +302,20 @@ def score(docs: DataFrame, chain: Chain, *, id_col: str = "doc_id", text_col: st
 
 
 def reject(docs: DataFrame, labels: DataFrame, categories: list[str], rejecting: str, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that get the category ``rejecting``; all columns stay as they are."""
+    """``docs`` without the rows that get the category ``rejecting``; all columns stay as they are.
+
+    Null and empty texts are kept, repeated rows judged alike, a very long text judged whole; an empty table stays empty,
+    and column names may be any.
+    """
     spark = session(docs)
     chain = train(docs, labels, categories, id_col=id_col, text_col=text_col, **options)
     sent = spark.sparkContext.broadcast(chain)
     at = categories.index(rejecting)
 
     @F.pandas_udf("boolean")
-    def toxic(texts: pd.Series) -> pd.Series:
-        predictor = Predictor(sent.value)
-        return pd.Series([bool(t) and predictor.log_odds(t)[at] > sent.value.thresholds[at] for t in texts], dtype=bool)
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predictor = Predictor(sent.value)  # once a task
+        for texts in batches:
+            yield pd.Series([bool(t) and predictor.log_odds(t)[at] > sent.value.thresholds[at] for t in texts], dtype=bool)
 
     return docs.where(~toxic(docs[text_col]))

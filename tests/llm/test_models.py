@@ -166,3 +166,69 @@ def test_each_category_learns_from_its_own_labels(spark, make):
     got = toxicity.score(table, toxicity.train(table, marks, ["quality", "toxic"])).collect()
     assert all(r.toxic_flag == (r.doc_id % 3 == 0) and r.quality_flag == bool(r.doc_id % 2) for r in got)
     assert toxicity.SAMPLE == 16_000
+
+
+def plain_probabilities(net, data):
+    """Position by position, in double precision; a state starts anew every SEGMENT bytes."""
+    total = np.zeros(len(net.languages))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(d, part, order):
+        table, inner = net.table[d].astype(float), net.inner[d].astype(float)
+        h = inner.shape[1]
+        state, out = np.zeros(h), {}
+        for t in order:
+            code = part[t] if t < len(part) else langid.PAD
+            u = inner @ state
+            z, r = sigmoid(table[code][:h] + u[:h]), sigmoid(table[code][h : 2 * h] + u[h : 2 * h])
+            state = z * state + (1 - z) * np.tanh(table[code][2 * h :] + r * u[2 * h :])
+            out[t] = state
+        return out
+
+    for at in range(0, len(data), langid.SEGMENT):
+        part = data[at : at + langid.SEGMENT]
+        ahead, back = states(0, part, range(langid.SEGMENT)), states(1, part, reversed(range(langid.SEGMENT)))
+        for t in range(len(part)):
+            logits = net.outer[0] @ ahead[t] + net.outer[1] @ back[t] + net.constant[:, 0]
+            total += np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+    return total / len(data)
+
+
+def test_languages_equal_a_plain_network(spark, make):
+    rng = random.Random(9)
+    words = {"aa": "haus und der baum nicht", "bb": "casa el arbol pero nunca", "cc": "maison le arbre mais jamais"}
+    rows = [(i, " ".join(rng.choices(words[lang].split(), k=rng.randint(1, 60))), lang) for i, lang in enumerate(list(words) * 20)]
+    net = langid.train(make(rows), per_language=15)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(make(rows), net).collect()}
+    for i, text, _ in rows[:30]:
+        p = plain_probabilities(net, text.encode())
+        assert got[i][0] == net.languages[int(p.argmax())] and abs(got[i][1] - p.max()) < 1e-4
+
+
+def test_ids_of_any_type_and_many_languages(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(f"id{i}", f"word{i % 7} " * 300, f"l{i % 7}") for i in range(70)] + [(None, "word1", "l1")], "doc_id string, text string, lang string")
+    net = langid.train(docs)
+    assert set(net.languages) == {f"l{i}" for i in range(7)}
+    got = langid.predict(docs, net)
+    assert dict(got.dtypes)["doc_id"] == "string" and got.where("doc_id is null").count() == 1
+    assert langid.train(docs.withColumn("lang", F.concat(F.lit("x"), "doc_id"))).languages.__len__() >= 50
+
+
+def test_toxicity_equals_a_plain_chain(spark, make):
+    rng = random.Random(10)
+    docs = [(i, " ".join(rng.choices(["fine", "good", "plain", "words", "insultus", "malefic", "herold"], k=rng.randint(1, 12)))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int("good" in t), int("insultus" in t)) for i, t in docs[:300]], "doc_id long, quality int, toxic int")
+    chain = toxicity.train(make(docs), labels, ["quality", "toxic"])
+    got = {r.doc_id: r for r in toxicity.score(make(docs), chain).collect()}
+    kept = {r.doc_id for r in toxicity.reject(make(docs), labels, ["quality", "toxic"], "toxic").collect()}
+    for i, text in docs:
+        held = {f for w in set(text.split()) for f in toxicity.word_features(w)}
+        odds = []
+        for models in chain.models:
+            one = [sum(w for f, w in zip(m.features, m.weights) if f in held) + sum(a * min(8, max(-8, z)) for a, z in zip(m.earlier, odds)) + m.constant for m in models]
+            odds.append(sum(one) / len(one))
+        assert abs(got[i].quality_score - 1 / (1 + np.exp(-odds[0]))) < 1e-9 and abs(got[i].toxic_score - 1 / (1 + np.exp(-odds[1]))) < 1e-9
+        assert got[i].toxic_flag == (odds[1] > chain.thresholds[1]) == (i not in kept)
+    assert sum(got[i].toxic_flag == ("insultus" in t) for i, t in docs) >= 390

@@ -51,6 +51,24 @@ def test_recall_and_exact_scores(spark, bound):
         assert got == wanted
 
 
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 0.0]), (50, [1e-200, 1e-200]), (1, [1e-310, 0.0]), (2, [3.0, 4.0]), (3, [-1e308, 1e308]), (4, [0.0, 0.0]), (5, [float("inf"), 1.0]), (6, [5e-324, 0.0])]
+    got = found(rabitq.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    assert [i for i, _ in got[0]] == [1, 6, 50, 2, 3] and [i for i, _ in got[50]] == [2, 0, 1, 6, 3]
+    assert [s for _, s in got[0]] == pytest.approx([1, 1, 0.5**0.5, 0.6, -(0.5**0.5)])
+
+
+def test_a_task_keeps_one_best_list(spark, monkeypatch):
+    monkeypatch.setattr(rabitq, "ROW_BLOCK", 16)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(600)] + [(1000 + i, [1.0] * 8) for i in range(20)] + [(50, [1.0] * 8)]
+    table = spark.createDataFrame(rows[:50] + rows[51:], "vec_id long, embedding array<float>").coalesce(2)
+    written, seen = rabitq.written, []
+    monkeypatch.setattr(rabitq, "written", lambda df, label: (seen.append((label, (made := written(df, label)).count())), made)[1])
+    assert found(rabitq.nearest(table, bound=8.0)) == brute(rows[:50] + rows[51:])
+    assert dict(seen)["codes"] >= 39 and dict(seen)["best"] <= 5 * 13 * 8
+
+
 def test_estimates_stay_in_their_bounds():
     rng = np.random.default_rng(1)
     rows, queries_ = rng.normal(size=(3000, 64)), rng.normal(size=(40, 64))
