@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from chalkline.resources.wordlists import CODE_KEYWORDS, LANGUAGE_CODES, stopwords
 
 #: Runs that make a search token: names of code such as std::move or push_back stay whole, a dot parts them.
-TOKEN = "[a-z0-9_:+#]+"
+#: A run starts and ends with another character than a colon.
+TOKEN = "[a-z0-9_+#](?:[a-z0-9_:+#]*[a-z0-9_+#])?"
 #: Letters, digits and underscores, of any script.
 WORD = r"[\p{L}\p{N}_]+"
 #: What Python's str.split and str.strip take for white space.
@@ -30,15 +31,18 @@ def literal_array(words: list[str]) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Search tokens of the lower-cased text, colons at their ends cut off."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0)
-    return F.filter(F.transform(found, lambda x: F.regexp_replace(x, "^:+|:+$", "")), lambda x: x != "")
+    """Search tokens of the lower-cased text, without colons at their ends."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0)
+
+
+def content_of(found: Column, language: str = "en") -> Column:
+    """Those of the tokens that are neither single characters nor stop words."""
+    return F.filter(found, lambda x: (F.length(x) > 1) & ~x.isin(stopwords(language)))
 
 
 def content_tokens(text: Column, language: str = "en") -> Column:
     """Search tokens but single characters and stop words."""
-    stop = literal_array(stopwords(language))
-    return F.filter(tokens(text), lambda x: (F.length(x) > 1) & ~F.array_contains(stop, x))
+    return content_of(tokens(text), language)
 
 
 def stop_array(language: Column) -> Column:

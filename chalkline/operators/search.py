@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from chalkline.functions import text as T
 from chalkline.functions.vectors import cosine
 from chalkline.resources.wordlists import stopwords
+from chalkline.scratch import written
 
 # Reciprocal rank constant, least cosine of a match, and BM25's parameters.
 RRF_K = 60
@@ -25,17 +26,38 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 
 @dataclass
 class Index:
-    """postings (token, id, tf, dl), terms (token, df), and one row of totals (n, avgdl, mean_idf)."""
+    """postings (token, id, tf, dl), terms (token, df), and one row of totals (n, avgdl, mean_idf).
+
+    An index that is not written yet has its points' sorted tokens (id, dl, tokens), of which a query takes its own first.
+    """
 
     postings: DataFrame
     terms: DataFrame
     totals: DataFrame
-
-    def write(self, path: str) -> None:
-        """As Parquet; postings are sorted by token in each file, so that a query's filter skips row groups."""
-        self.postings.repartition("token", F.pmod(F.xxhash64("id"), F.lit(16))).sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/postings")
-        self.terms.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/terms")
+    listed: DataFrame | None = None
+
+    def hits(self, words: list[str]) -> DataFrame:
+        """The postings of some tokens."""
+        if self.listed is None:
+            return self.postings.where(F.col("token").isin(words))
+        some = self.listed.select("id", "dl", F.filter("tokens", lambda x: x.isin(words)).alias("tokens")).where(F.size("tokens") > 0)
+        return some.select("id", "dl", F.inline(_counts("tokens"))).select("token", "id", "dl", "tf")
+
+    def write(self, path: str) -> Index:
+        """As Parquet; postings are sorted by token in each file, so that a query's filter skips row groups.
+
+        Returns the written index.
+        """
+        self.postings.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/postings")
+        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.totals.write.mode("overwrite").parquet(f"{path}/totals")
+        return Index.read(self.postings.sparkSession, path)
+
+    @staticmethod
+    def whole(spark, path: str) -> bool:
+        """Whether an index was written there to its end."""
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/totals/_SUCCESS")
+        return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
     @staticmethod
     def read(spark, path: str) -> Index:
@@ -53,15 +75,31 @@ def _idf(n, df):
     return F.log(n - df + F.lit(0.5)) - F.log(df + F.lit(0.5))
 
 
+def _counts(tokens: str) -> F.Column:
+    """(token, tf) of each distinct one of the sorted tokens: counted in the row, so that nothing is dealt by token and document."""
+    new = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)))
+    starts = F.when(F.size(tokens) > 0, new).otherwise(F.array().cast("array<int>"))
+    pairs = lambda at: F.transform(at, lambda a, k: F.struct(F.get(tokens, a).alias("token"), (F.coalesce(F.get(at, k + 1), F.size(tokens)) - a).cast("long").alias("tf")))
+    return F.get(F.transform(F.array(starts), pairs), F.lit(0))  # in a lambda, so that starts are made once
+
+
 def build_index(points: DataFrame, id_col: str = "id", text_col: str = "text") -> Index:
-    """Index of all points; points without tokens count in the totals. Null texts are empty."""
+    """Index of all points; points without tokens count in the totals. Null texts are empty.
+
+    Tokens are written first, so that texts are read once for all that is counted in them.
+    """
     listed = points.select(F.col(id_col).alias("id"), T.content_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("tokens"))
-    listed = listed.withColumn("dl", F.size("tokens"))
-    postings = listed.select("id", "dl", F.explode("tokens").alias("token")).groupBy("token", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    terms = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    sizes = listed.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+    listed = written(listed.select("id", F.size("tokens").alias("dl"), F.sort_array("tokens").alias("tokens")), "tokens")
+    postings = listed.select("id", "dl", F.inline(_counts("tokens"))).select("token", "id", "dl", "tf")
+    terms = written(listed.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")), "terms")
+    return Index(postings, terms, _totals(listed, terms), listed)
+
+
+def _totals(sized: DataFrame, terms: DataFrame) -> DataFrame:
+    """Of a row with ``dl`` for each point."""
+    sizes = sized.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     mean = terms.crossJoin(F.broadcast(sizes)).agg(F.avg(_idf(F.col("n"), F.col("df"))).alias("mean_idf"))  # sizes: one row
-    return Index(postings, terms, sizes.crossJoin(mean))
+    return sizes.crossJoin(mean)
 
 
 def bm25(index: Index, query: str) -> DataFrame:
@@ -78,7 +116,7 @@ def bm25(index: Index, query: str) -> DataFrame:
     own = F.when(_idf(F.col("n"), F.col("df")) < 0, F.lit(EPSILON) * F.col("mean_idf")).otherwise(_idf(F.col("n"), F.col("df")))
     weights = index.terms.where(F.col("token").isin(words)).crossJoin(F.broadcast(index.totals)).select("token", own.alias("idf"), "avgdl")
     near = F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl")))
-    hits = index.postings.where(F.col("token").isin(words)).join(F.broadcast(weights), "token")  # as many rows as the query has words
+    hits = index.hits(words).join(F.broadcast(weights), "token")  # as many rows as the query has words
     # a query's few parts are added in one order, so that equal texts have equal scores
     parts = F.array_sort(F.collect_list(F.col("idf") * near * times[F.col("token")]))
     scored = hits.groupBy("id").agg(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x).alias("score")).where("score > 0")
@@ -93,7 +131,7 @@ def _ranked(scored: DataFrame) -> DataFrame:
     parts = scored.sparkSession.conf.get("spark.sql.shuffle.partitions")
     dealt = scored.repartitionByRange(int(parts), F.desc("score"), F.col("id")).withColumn("part", F.spark_partition_id())
     inner = Window.partitionBy("part").orderBy(F.desc("score"), "id")
-    counted = dealt.withColumn("nth", F.row_number().over(inner))
+    counted = written(dealt.withColumn("nth", F.row_number().over(inner)), "ranked")  # written, since ranges made anew may differ
     sizes = counted.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
     return counted.join(F.broadcast(before), "part").select("id", "score", (F.col("nth") + F.col("before")).cast("int").alias("rank"))  # before: a row a partition

@@ -235,5 +235,4 @@ def search_collection(spark: SparkSession, query: str, store: Store, collection:
     """The best ``k`` notes of a collection; words alone without an embedder."""
     points = store.with_vectors(collection)
     vector = embedder.embed([query], model=model)[0] if embedder is not None else None
-    index = search.build_index(points.select("id", "text"))
-    return search.results(search.hybrid(index, points, query, vector, k=k))
+    return search.results(search.hybrid(store.index(collection), points, query, vector, k=k))

@@ -130,7 +130,8 @@ def scroll_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    docs = _read(spark, sf_dir, "documents").select("doc_id", T.tokens(text).alias("t"), T.content_tokens(text).alias("c"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", T.tokens(text).alias("t"))
+    docs = docs.select("doc_id", "t", T.content_of(F.col("t")).alias("c"))  # tokens are made once
     return docs.select("doc_id", F.size("t").alias("n_tokens"), F.size("c").alias("n_content"), F.size(F.array_distinct("c")).alias("n_distinct"))
 
 

@@ -23,11 +23,15 @@ class Store(Protocol):
 
     def vector_search(self, name: str, vector: list[float], limit: int) -> DataFrame: ...
 
+    def index(self, name: str) -> search.Index: ...
+
 
 class ParquetStore:
-    """A folder of versions for each collection; a version is whole once its marker is there, and readers take the last whole one.
+    """A folder of versions for each collection; ``vN.commit`` names the folder of version N, and readers take the last one.
 
-    An upsert writes the next version and drops those before the last, so a failed or retried one leaves the old in place.
+    An upsert writes a folder and then the marker of the next version, which only one writer can create: another that
+    started from the same version fails, and no upsert is lost. Versions before the last are dropped, so a failed or
+    retried upsert leaves the old in place. The index of a version's texts is written when it is first asked for.
     """
 
     def __init__(self, spark: SparkSession, location: str) -> None:
@@ -41,9 +45,26 @@ class ParquetStore:
         fs, where = self._fs(f"{self.location}/{name}")
         if not fs.exists(where):
             return []
-        found = [s.getPath() for s in fs.listStatus(where)]
-        whole = [p for p in found if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted((p.toString() for p in whole), key=lambda p: int(p.rsplit("v", 1)[-1].split("-")[0]))
+        markers = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().endswith(".commit")]
+        named = {int(m.getName()[1 : -len(".commit")]): self._named(fs, m) for m in markers}
+        return [f"{self.location}/{name}/{named[n]}" for n in sorted(named) if named[n]]
+
+    def _named(self, fs, marker) -> str:
+        opened = fs.open(marker)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+        finally:
+            opened.close()
+
+    def _commit(self, name: str, number: int, folder: str) -> None:
+        fs, marker = self._fs(f"{self.location}/{name}/v{number}.commit")
+        try:
+            opened = fs.create(marker, False)
+        except Exception as error:
+            fs.delete(self._fs(f"{self.location}/{name}/{folder}")[1], True)
+            raise ChalklineError(f"collection {name!r} was changed by another writer; nothing of this upsert was kept") from error
+        opened.write(bytearray(folder, "utf-8"))
+        opened.close()
 
     def _read(self, name: str) -> DataFrame:
         versions = self._versions(name)
@@ -52,11 +73,18 @@ class ParquetStore:
 
     def _write(self, name: str, points: DataFrame) -> None:
         old = self._versions(name)
-        number = int(old[-1].rsplit("v", 1)[-1].split("-")[0]) + 1 if old else 1
-        points.select(schemas.table("kb_points").fieldNames()).write.parquet(f"{self.location}/{name}/v{number}-{uuid.uuid4().hex[:8]}")
+        number = self._number(old[-1]) + 1 if old else 1
+        folder = f"v{number}-{uuid.uuid4().hex[:8]}"
+        points.select(schemas.table("kb_points").fieldNames()).write.parquet(f"{self.location}/{name}/{folder}")
+        self._commit(name, number, folder)
         for path in old[:-1]:
-            fs, where = self._fs(path)
-            fs.delete(where, True)
+            for gone in (f"{self.location}/{name}/v{self._number(path)}.commit", path, f"{path}-index"):
+                fs, where = self._fs(gone)
+                fs.delete(where, True)
+
+    @staticmethod
+    def _number(path: str) -> int:
+        return int(path.rsplit("/v", 1)[-1].split("-")[0])
 
     def ensure_collection(self, name: str, dimension: int) -> None:
         """An empty collection if there is none; an error if its vectors have another length."""
@@ -80,6 +108,16 @@ class ParquetStore:
     def with_vectors(self, name: str) -> DataFrame:
         return self._read(name)
 
+    def index(self, name: str) -> search.Index:
+        """The index of the collection's texts, written once for each of its versions."""
+        versions = self._versions(name)
+        if not versions:
+            return search.build_index(self._read(name).select("id", "text"))
+        path = f"{versions[-1]}-index"
+        if search.Index.whole(self.spark, path):
+            return search.Index.read(self.spark, path)
+        return search.build_index(self._read(name).select("id", "text")).write(path)
+
     def vector_search(self, name: str, vector: list[float], limit: int) -> DataFrame:
         """(id, score), best first; none for an unknown collection."""
         return search.nearest(self._read(name), vector, limit)
