@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
 from pathlib import Path
 
@@ -11,6 +12,7 @@ from pyspark.sql import SparkSession
 from chalkline import config, profile
 from chalkline.errors import ChalklineError, StageUnavailable
 from chalkline.operators.frames import DEFAULT_LIMIT
+from chalkline.memory import remembering
 from chalkline.plans import jobs
 from chalkline.providers import Offline, OpenAI
 from chalkline.sources import store
@@ -26,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(p)
         if many:
             sub.add_argument(many, nargs="+")
+        sub.add_argument("--verbose", "-v", action="store_true", help="log what each step does")
         sub.add_argument("--offline", action="store_true", help="answer by fixed rules instead of hosted models")
         return sub
 
@@ -56,9 +59,20 @@ def dotenv(path: str = ".env") -> None:
                 os.environ.setdefault(name.strip(), value.strip().strip("'\""))
 
 
+def log_to_stderr(verbose: bool = False) -> None:
+    """This package's messages, with their time and level; debug messages too if ``verbose``."""
+    own = logging.getLogger("chalkline")
+    if not own.handlers:
+        handler = logging.StreamHandler()
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+        own.addHandler(handler)
+    own.setLevel(logging.DEBUG if verbose else logging.INFO)
+
+
 def run(args: argparse.Namespace, spark: SparkSession) -> int:
     settings = config.load()
     provider = Offline() if args.offline else None
+    memory = lambda p: remembering(p, settings.cache_dir)
     if args.verb in ("process", "run-stage", "eval"):
         chosen = profile.load(args.profile)
     if args.verb == "process":
@@ -73,11 +87,11 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
     else:
         kept = store.build(settings.vector_store, spark, settings.kb_dir)
         if args.verb == "kb-ingest":
-            n = jobs.ingest_jobs(spark, args.jobs, args.collection, kept, provider or OpenAI(settings.openai_api_key), settings.embed_model)
+            n = jobs.ingest_jobs(spark, args.jobs, args.collection, kept, memory(provider or OpenAI(settings.openai_api_key)), settings.embed_model)
             print(f"{n} note(s) into {args.collection}")
         else:
             embedder = provider or (OpenAI(settings.openai_api_key) if settings.openai_api_key else None)
-            rows = jobs.search_collection(spark, args.query, kept, args.collection, embedder, settings.embed_model, args.k).collect()
+            rows = jobs.search_collection(spark, args.query, kept, args.collection, memory(embedder) if embedder else None, settings.embed_model, args.k).collect()
             for r in rows:
                 print(f"{r.score:.4f}  {r.concept}  [{r.source_video} @ {r.source_timestamp:.0f}s]  {r.summary}")
             if not rows:
@@ -87,6 +101,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    log_to_stderr(args.verbose)
     dotenv()
     spark = SparkSession.builder.appName("chalkline").getOrCreate()
     try:

@@ -6,7 +6,10 @@ run one job's programs on the driver.
 
 from __future__ import annotations
 
+import itertools
 import json
+import logging
+import shutil
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -18,12 +21,16 @@ from pyspark.sql import functions as F
 from chalkline import schemas
 from chalkline.config import Config
 from chalkline.errors import ChalklineError, StageUnavailable
+from chalkline.memory import remembering
 from chalkline.operators import align, distill, evaluate, frames, knowledge, render, scenes, search
 from chalkline.profile import Profile
 from chalkline.providers import Gemini, OpenAI, Provider, Routed, mime_type
+from chalkline.shipping import ship
 from chalkline.sources import artifacts, media
 from chalkline.sources.store import Store
 
+log = logging.getLogger(__name__)
+
 STAGES = ("ingest", "transcribe", "detect_scenes", "extract_visuals", "align", "distill", "render")
 
 
@@ -35,9 +42,9 @@ class StageResult:
 
 
 def provider_of(config: Config) -> Provider:
-    """The hosted providers that the settings name."""
+    """The hosted providers that the settings name, behind the memory of replies."""
     default = OpenAI(config.openai_api_key)
-    return Routed(default, Gemini(config.gemini_api_key)) if config.vision_provider == "gemini" else default
+    return remembering(Routed(default, Gemini(config.gemini_api_key)) if config.vision_provider == "gemini" else default, config.cache_dir)
 
 
 def _documents(table: DataFrame, kind: str, jobs: dict[str, str]) -> None:
@@ -104,8 +111,15 @@ def detect_scenes(spark: SparkSession, job_dir: str, profile: Profile) -> None:
 def extract_visuals(spark: SparkSession, job_dirs: list[str], config: Config, profile: Profile, provider: Provider | None, limit: float = frames.DEFAULT_LIMIT) -> None:
     kept = artifacts.exploded(artifacts.load(spark, job_dirs, "keyframes"), "keyframes", "kf_ord")
     frames.check_cost(kept.count(), limit)  # before a provider is made
-    rows = [(r.job_id, r.timestamp, bytearray(media.scaled_image(r.image_path, config.vision_max_width)), mime_type(r.image_path)) for r in kept.toLocalIterator()]
-    table = spark.createDataFrame(rows, "job_id string, timestamp double, image binary, mime string")
+    width = config.vision_max_width
+
+    def pictures(tables):  # read where they are asked about: the driver holds paths alone
+        for table in tables:
+            paths = table["image_path"]
+            yield table[["job_id", "timestamp"]].assign(image=[media.scaled_image(p, width) for p in paths], mime=[mime_type(p) for p in paths])
+
+    ship(spark)
+    table = kept.select("job_id", "timestamp", "image_path").mapInPandas(pictures, "job_id string, timestamp double, image binary, mime string")
     found = frames.visuals(table, profile, provider or provider_of(config), config.vision_model, limit=limit)
     whole = artifacts.load(spark, job_dirs, "keyframes").select("job_id").join(artifacts.nested(found, "vis_ord", "extracts"), "job_id", "left")
     _documents(_filled(whole, "extracts"), "visuals", _named(job_dirs))
@@ -146,15 +160,17 @@ def render_jobs(spark: SparkSession, job_dirs: list[str]) -> None:
         (Path(jobs[row.job_id]) / "digest.md").write_text(row.digest, encoding="utf-8")
     fields = [f for f in notes.columns if f not in ("job_id", "note_ord")]
     lined = notes.select("job_id", "note_ord", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line")).orderBy("job_id", "note_ord")
-    texts: dict[str, list[str]] = {job: [] for job in jobs}
-    for row in lined.toLocalIterator():
-        texts[row.job_id].append(row.line + "\n")
-    for job, lines in texts.items():
-        (Path(jobs[job]) / "notes.jsonl").write_text("".join(lines), encoding="utf-8")
+    for folder in jobs.values():
+        (Path(folder) / "notes.jsonl").write_text("", encoding="utf-8")
+    for job, rows in itertools.groupby(lined.toLocalIterator(), lambda r: r.job_id):  # sorted by job: one file is open, one row held
+        with (Path(jobs[job]) / "notes.jsonl").open("w", encoding="utf-8") as file:
+            file.writelines(row.line + "\n" for row in rows)
 
 
 def run_stage(spark: SparkSession, name: str, job_dir: str, config: Config, profile: Profile, *, provider: Provider | None = None, max_cost: float = frames.DEFAULT_LIMIT, video: str | None = None) -> None:
-    """One stage of one job, from what its folder holds."""
+    """One stage of one job, from what its folder holds; replies of models are remembered in ``config.cache_dir``."""
+    provider = remembering(provider, config.cache_dir) if provider is not None else None
+    log.info("%s: stage %s", job_dir, name)
     stages: dict[str, Callable[[], None]] = {
         "ingest": lambda: ingest(spark, video or artifacts.load(spark, [job_dir], "video").first().source_path, job_dir),
         "transcribe": lambda: transcribe(spark, job_dir, config, profile, provider),
@@ -183,6 +199,7 @@ def process(spark: SparkSession, video: str, job_dir: str, config: Config, profi
 
 def evaluate_job(spark: SparkSession, job_dir: str, config: Config, profile: Profile, *, provider: Provider | None = None, grounding_n: int = 5, run_commands: bool = False) -> str:
     """The report of one job's checks, also written as eval_report.md; what a job lacks is left out or said to be missing."""
+    provider = remembering(provider, config.cache_dir) if provider is not None else None
     job = job_dir.rstrip("/").rsplit("/", 1)[-1]
     one = lambda df: (lambda r: r.asDict(True) if r else None)(df.first())
     has = lambda kind: artifacts.try_load(spark, [job_dir], kind)
@@ -191,7 +208,7 @@ def evaluate_job(spark: SparkSession, job_dir: str, config: Config, profile: Pro
     has_notes = not notes.isEmpty()
     command = profile.verification.command if profile.verification else None
     verified = evaluate.verification(notes, profile, run_commands=True) if command and run_commands else None
-    tool_there = bool(command) and run_commands and __import__("shutil").which((command.split() or [""])[0]) is not None
+    tool_there = bool(command) and run_commands and shutil.which((command.split() or [""])[0]) is not None
     checked = (one(verified) or {"total": 0, "passed": 0, "failures": []}) if tool_there else None
     said = artifacts.exploded(transcript, "segments", "seg_ord")
     words = evaluate.vocabulary(said, profile.vocabulary)

@@ -1,5 +1,10 @@
 """Word lists that results depend on."""
 
+from __future__ import annotations
+
+import os
+from pathlib import Path
+
 # Stop words that alignment and search leave out, by language code.
 STOPWORDS_TEXT = {
     "en": """
@@ -37,11 +42,25 @@ signed const static struct union enum typedef sizeof printf scanf malloc free ma
 """.split()
 
 
+#: Names the folder of a user's own languages: a file CODE.txt each, words one to a line, # before a comment.
+FOLDER = "CHALKLINE_LANGUAGES"
+
+
+def _own() -> dict[str, Path]:
+    folder = os.environ.get(FOLDER)
+    return {p.stem.lower(): p for p in Path(folder).glob("*.txt")} if folder and Path(folder).is_dir() else {}
+
+
 def stopwords(language: str) -> list[str]:
-    """Stop words of a language code in any case; none for an unknown language."""
-    return STOPWORDS_TEXT.get(language.lower(), "").split()
+    """Stop words of a language code in any case, from the user's file if there is one; none for an unknown language."""
+    code = language.strip().lower()
+    own = _own().get(code)
+    if own is None:
+        return STOPWORDS_TEXT.get(code, "").split()
+    words = (line.partition("#")[0].strip().lower() for line in own.read_text(encoding="utf-8").splitlines())
+    return sorted({w for w in words if w})
 
 
 def languages() -> list[str]:
-    """Codes of the languages that have stop words."""
-    return sorted(STOPWORDS_TEXT)
+    """Codes of the languages that have stop words, the user's own among them."""
+    return sorted({*STOPWORDS_TEXT, *_own()})
