@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Literal
 
 import pydantic
@@ -32,14 +33,15 @@ class UnusableReply(ValueError):
     """Its message tells a model what was wrong."""
 
 
+#: A fence's first line, what it holds, and the fence that ends it, if any.
+_FENCED = re.compile(r"```[^\n]*(?:\n(?P<held>.*?))??(?:(?:^|\n)[^\S\n]*```)?", re.DOTALL)
+
+
 def strip_fence(raw: str) -> str:
-    text = raw.strip()
-    if not text.startswith("```"):
-        return text
-    rows = text.splitlines()[1:]
-    if rows and rows[-1].strip() == "```":
-        del rows[-1]
-    return "\n".join(rows).strip()
+    """A reply without the code fence around it."""
+    text = "\n".join(raw.strip().splitlines())
+    fenced = _FENCED.fullmatch(text)
+    return (fenced["held"] or "").strip() if fenced else raw.strip()
 
 
 def json_object(raw: str) -> dict:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chalkline.functions import text as T
 from chalkline.functions import vectors as V
-from chalkline.operators import align, distill, evaluate, knowledge, render, scenes, search, transcripts
+from chalkline.operators import align, distill, evaluate, knowledge, models, render, scenes, search, transcripts
 from chalkline.resources.wordlists import CODE_KEYWORDS, stopwords
 
 #: What the search queries ask for, and the vocabulary that is looked for.
@@ -292,6 +292,51 @@ def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.digests(notes, videos)
 
 
+def reply_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as replies: bare, and in two kinds of code fence."""
+    text = F.coalesce("text", F.lit(""))
+    raw = F.when(F.col("doc_id") % 3 == 0, text).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("```json\n"), text, F.lit("\n```"))).otherwise(F.concat(F.lit(" ```\n"), text, F.lit("\n``` \n")))
+    return _read(spark, sf_dir, "documents").select("doc_id", F.md5(T.strip_fence(raw).cast("binary")).alias("digest"))
+
+
+def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("prompt"))
+    return models.keyed(asked, "complete", "m1", "prompt").select("doc_id", "key")
+
+
+def frame_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates as probes write them, and texts that are none."""
+    size, kind = F.col("p_size").cast("string"), F.col("p_partkey") % 4
+    rate = F.when(kind == 0, F.concat(size, F.lit("/"), (F.col("p_partkey") % 7).cast("string"))).when(kind == 1, size).when(kind == 2, F.col("p_name")).otherwise(F.concat(size, F.lit("/1001/2")))
+    return _read(spark, sf_dir, "part").select("p_partkey", F.round(T.frame_rate(rate), 6).alias("rate"))
+
+
+def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = T.searchable_text(F.col("source"), F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    return _read(spark, sf_dir, "documents").select("doc_id", F.md5(made.cast("binary")).alias("digest"))
+
+
+def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as found notes, some without a video, a time or a language."""
+    odd = F.col("doc_id") % 2 == 1
+    found = _read(spark, sf_dir, "documents").select(F.concat(F.lit("gen:"), "doc_id").alias("canonical_concept_id"), F.lit("docs").alias("collection"), F.when(odd, F.col("source")).alias("source_video"), F.when(odd, F.col("n_chars").cast("double")).alias("source_timestamp"),
+                                                     F.col("source").alias("concept"), F.lit(None).cast("string").alias("summary"), F.when(~odd, F.col("lang")).alias("code_language"), (F.col("doc_id") / 8).alias("score"))
+    return search.results(found)
+
+
+def joined_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation's turns as segments of three parts of an audio."""
+    said, _ = _conversation(spark, sf_dir)
+    part = (F.col("seg_ord") % 3).cast("int")
+    cut = said.withColumn("part_ord", part).withColumn("offset", part * F.lit(600.0)).withColumn("text", F.concat(F.lit(" "), "text", F.lit("\n")))
+    return transcripts.joined_segments(cut).select("job_id", "part_ord", F.col("seg_ord").alias("turn"), F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "text")
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.nearest(_read(spark, sf_dir, "embeddings"), _query_vector(spark, sf_dir), 10, id_col="vec_id", vector_col="embedding")
+    return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
+
+
 def _in(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
@@ -416,12 +461,29 @@ SQL: dict[str, str] = {
     f"g AS (SELECT job_id, count(*) AS k, sum(length(text)) / CAST({SPEED} AS DOUBLE) AS d, sum(w) / CAST(200 AS DOUBLE) AS r, string_agg(md, '' ORDER BY turn) AS body FROM n GROUP BY job_id) "
     f"SELECT job_id, '# Study Digest' || chr(10) || chr(10) || 'Source: ' || job_id || '.mp4 · ' || k || ' note(s)' || chr(10) || chr(10) || body || '---' || chr(10) || chr(10) || '## Compression' || chr(10) || chr(10) || '- Video length: ' || {_hms('d')} || ' (' || printf('%.1f', d / 60) || ' min)' || chr(10) || "
     "'- Reading time: ~' || printf('%.1f', r) || ' min at 200 wpm' || chr(10) || '- Compression: ' || printf('%.1f', CASE WHEN r > 0 THEN d / 60 / r ELSE 0 END) || 'x' || chr(10) AS digest FROM g",
+    "reply_fences": f"SELECT doc_id, md5({_strip("coalesce(text, '')")}) AS digest FROM documents",
+    "request_keys": "SELECT doc_id, sha256(CAST(json_object('model', 'm1', 'operation', 'complete', 'prompt', coalesce(text, '')) AS VARCHAR)) AS key FROM documents",
+    "frame_rates": "SELECT p_partkey, round(CASE WHEN p_partkey % 4 = 0 AND p_partkey % 7 > 0 THEN p_size / CAST(p_partkey % 7 AS DOUBLE) WHEN p_partkey % 4 = 1 THEN CAST(p_size AS DOUBLE) ELSE CAST(0 AS DOUBLE) END, 6) AS rate FROM part",
+    "searchable": f"SELECT doc_id, md5({_strip("concat_ws(' ', nullif(source, ''), nullif(text, ''), CASE WHEN doc_id % 2 = 0 THEN nullif(lang, '') END)")}) AS digest FROM documents",
+    "search_results": "SELECT 'gen:' || doc_id AS canonical_concept_id, 'docs' AS collection, CASE WHEN doc_id % 2 = 1 THEN coalesce(source, '') ELSE '' END AS source_video, CASE WHEN doc_id % 2 = 1 THEN coalesce(CAST(n_chars AS DOUBLE), 0) ELSE 0 END AS source_timestamp, "
+    "coalesce(source, '') AS concept, '' AS summary, CASE WHEN doc_id % 2 = 0 THEN lang END AS code_language, doc_id / CAST(8 AS DOUBLE) AS score FROM documents",
+    "joined_segments": f"WITH {_CONV} SELECT job_id, CAST(turn % 3 AS INTEGER) AS part_ord, turn, round(a + turn % 3 * CAST(600 AS DOUBLE), 6) AS start, round(b + turn % 3 * CAST(600 AS DOUBLE), 6) AS \"end\", {_strip('text')} AS text FROM s",
+    "nearest_vectors": f"WITH {_VECTORS} SELECT id AS vec_id, round(score, 6) AS score FROM cs WHERE score IS NOT NULL ORDER BY cs.score DESC, id LIMIT 10",
+    # the table of common lines, a row of it for each line of the document before
+    "line_share": f"WITH RECURSIVE s AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS x FROM documents), "
+    f"d AS (SELECT doc_id, source, list_transform(CASE WHEN x[-1] = '' THEN x[1 : len(x) - 1] ELSE x END, lambda l: regexp_replace(l, '[{_SPACES}]+$', '')) AS ls FROM s), "
+    "p AS (SELECT * FROM (SELECT doc_id, lag(doc_id) OVER w AS before_id, lag(ls) OVER w AS a, ls AS b FROM d WINDOW w AS (PARTITION BY source ORDER BY doc_id)) WHERE before_id IS NOT NULL), "
+    "r AS (SELECT doc_id, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: 0) AS t FROM p UNION ALL "
+    "SELECT r.doc_id, r.i + 1 AS i, list_transform(range(0, len(b) + 1), lambda j: greatest(r.t[j + 1], coalesce(list_max(list_transform(range(1, j + 1), lambda k: CASE WHEN b[k] = a[r.i + 1] THEN r.t[k] + 1 ELSE 0 END)), 0))) AS t "
+    "FROM r JOIN p ON r.doc_id = p.doc_id WHERE r.i < len(a)) "
+    "SELECT p.doc_id, before_id, CASE WHEN least(len(a), len(b)) > 0 THEN CAST(t[-1] AS DOUBLE) / least(len(a), len(b)) ELSE CAST(0 AS DOUBLE) END AS share FROM p JOIN r ON p.doc_id = r.doc_id AND r.i = len(a)",
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (anchor, visual_chunks, orphans, bounds_split, alignment_report, lookahead, line_share, scroll_merge, tokens, content_words, bm25, vector_ranking, rank_fusion, hybrid_search, slug_ids, concept_registry,
-              vocabulary_hits, reading_statistics, grounding_join, frame_dedup, scene_samples, point_ids, upsert, code_like, timestamp_links, code_from_visuals, audio_parts, digests)
+              vocabulary_hits, reading_statistics, grounding_join, frame_dedup, scene_samples, point_ids, upsert, code_like, timestamp_links, code_from_visuals, audio_parts, digests, reply_fences, request_keys, frame_rates, searchable, search_results,
+              joined_segments, nearest_vectors)
     return {f.__name__: f for f in listed}
 
 

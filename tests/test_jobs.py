@@ -197,7 +197,7 @@ def job_folder(tmp_path, name="j"):
 
 def test_digest_and_notes_files(spark, tmp_path):
     folder = job_folder(tmp_path)
-    jobs.run_stage(spark, "render", str(folder), config.Config(), GENERIC)
+    jobs.run_stage(spark, "render", str(folder), config.Config(cache_dir=str(tmp_path / "memory")), GENERIC)
     assert (folder / "digest.md").read_text() == DIGEST
     assert len((folder / "notes.jsonl").read_text().splitlines()) == 2
     with_lines = artifacts.read_notes(spark, [str(folder)]).orderBy("note_ord").collect()
@@ -217,7 +217,7 @@ def test_missing_documents_name_their_stage(spark, tmp_path):
         artifacts.load(spark, [str(tmp_path)], "timeline")
     assert artifacts.try_load(spark, [str(tmp_path)], "timeline").count() == 0
     with pytest.raises(StageUnavailable):
-        jobs.run_stage(spark, "dance", str(tmp_path), config.Config(), GENERIC)
+        jobs.run_stage(spark, "dance", str(tmp_path), config.Config(cache_dir=str(tmp_path / "memory")), GENERIC)
 
 
 def test_probe(spark):
@@ -232,16 +232,16 @@ def test_tables_of_a_job_from_speech_to_report(spark, tmp_path):
     artifacts.save({"language": "english", "model_size": "small", "segments": [{"start": 1.0, "end": 4.0, "text": "pointers hold addresses", "words": []}, {"start": 21.0, "end": 25.0, "text": "vectors grow", "words": []}]}, folder, "transcript")
     artifacts.save({"extracts": [{"timestamp": 0.0, "kind": "slide", "text": "pointers", "description": "", "diagram": ""}, {"timestamp": 20.0, "kind": "code", "text": "int x;", "code_language": "c", "description": "", "diagram": ""}]}, folder, "visuals")
     for stage in ("align", "distill", "render"):
-        jobs.run_stage(spark, stage, str(folder), config.Config(), GENERIC, provider=Offline())
+        jobs.run_stage(spark, stage, str(folder), config.Config(cache_dir=str(tmp_path / "memory")), GENERIC, provider=Offline())
     report = json.loads((folder / "alignment_report.json").read_text())
     assert report == {"chunk_count": 2, "segment_count": 2, "lookahead_moves": 0, "scroll_merges": 0, "orphans": 0}
     notes = json.loads((folder / "notes.json").read_text())["notes"]
     assert [n["source_timestamp"] for n in notes] == [0.0, 20.0] and notes[1]["code_snippet"] == "int x;"
     assert json.loads((folder / "concepts.json").read_text())["concepts"]["vectors grow"] == "gen:vectors-grow"
-    text = jobs.evaluate_job(spark, str(folder), config.Config(), GENERIC, provider=Offline())
+    text = jobs.evaluate_job(spark, str(folder), config.Config(cache_dir=str(tmp_path / "memory")), GENERIC, provider=Offline())
     assert "Fully-supported notes: 2/2 (100%)" in text and (folder / "eval_report.md").read_text() == text
     assert "_No vocabulary for this profile._" in text and "not recorded" in text
-    missing = jobs.evaluate_job(spark, str(tmp_path / "job1"), config.Config(), GENERIC.model_copy(update={"vocabulary": ["vectors", "mutex"]}))
+    missing = jobs.evaluate_job(spark, str(tmp_path / "job1"), config.Config(cache_dir=str(tmp_path / "memory")), GENERIC.model_copy(update={"vocabulary": ["vectors", "mutex"]}))
     assert "Terms found in transcript: 1/2 (50%)" in missing and "- Missing: mutex" in missing and "_Skipped: no model provider is set._" in missing
 
     kept = store.build("parquet", spark, str(tmp_path / "kb"))
