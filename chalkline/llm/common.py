@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chalkline import shipping
+from chalkline.scratch import clear, new_path, remove, session, shared_dir, written
+
+__all__ = ["absent", "clear", "crc_of_id", "new_path", "partitions", "remove", "same", "session", "shared_dir", "ship", "written"]
 
 #: Characters that separate words: space and the ASCII controls from tab to carriage return.
 SPACES = r"\x20\x09-\x0D"
@@ -18,59 +16,6 @@ SPACES = r"\x20\x09-\x0D"
 BATCH_BYTES, ARROW_BYTES = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see.
-
-    It is ``spark.checkpoint.dir``; only a local master, where all run on one
-    machine, gets a folder of its own when that is unset.
-    """
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
-    # with its scheme, so that Spark and Arrow take it for the same folder
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
-    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    whole = whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
-    return f"{whole.rstrip('/')}/chalkline-{spark.sparkContext.applicationId}"
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage and outlives executors."""
-    spark = session(df)
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, *tables: DataFrame | str) -> None:
-    """Delete written tables (or folders) that no later plan reads."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for table in tables:
-        if not isinstance(table, str):
-            files = table.inputFiles()
-            if not files:
-                continue
-            table = files[0].rsplit("/", 1)[0]
-        path = jvm.org.apache.hadoop.fs.Path(table)
-        path.getFileSystem(conf).delete(path, True)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete all that this session's operators wrote; results not yet saved become unreadable."""
-    remove(spark, shared_dir(spark))
-
-
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package, and take batches of bounded size.
 

@@ -2,13 +2,17 @@
 
 A test item is short and a document may be long, so similarity is the containment of the item's
 shingles in the document. Items fall in size classes by powers of two of their number of distinct
-shingles. An item's MinHash sketch is its k least shingle hashes, with k = (shingles that may be
-missing from a match in its class) + 1: of k sketch members at least one is in any document that
-holds the threshold's share of the item, so the search loses nothing at any document length.
-Document shingles above the largest sketch hash are dropped before they become rows; the rest
-meet the sketches in a join, and the documents found are verified by the exact containment of
+shingles, and each class has the threshold converted to its sizes: a match holds at least a number of shingles, and
+may miss at most another. An item's MinHash sketch is its k least shingle hashes, with k one more than its
+class may miss: of k sketch members at least one is in any document that holds the threshold's share of
+the item, so the search loses nothing at any document length. Documents are searched class by class:
+those with fewer shingles than the class must hold are left out, of the others the shingle hashes up to the
+class's largest sketch hash meet its sketches in a join, and the documents found are verified by the exact containment of
 shingle texts.
 
+A document's own signature (least hashes, or bands) would not do: of 20,000 shingles, 36 of an item are seldom among the least.
+Sketches and found ids are written tables; Spark broadcasts them below its own limit of bytes and deals them beyond.
+
 Items of fewer than ``shingle`` words are one shingle of all their words, looked up among the
 documents' shingles of that length.
 """
@@ -18,12 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, session, written
+from .common import absent, remove, same, session, written
 
 #: Words in a shingle, and the share of an item's shingles that a document must hold.
 SHINGLE, THRESHOLD = 5, 0.8
-#: Rows up to which the sketches, an item's shingles or found ids are broadcast; beyond, joins shuffle.
-BROADCAST_ROWS = 250_000
 
 
 def words(text: Column) -> Column:
@@ -43,11 +45,6 @@ def _hashes(hs: Column, k: int) -> Column:
     return F.transform(_positions(hs, k), lambda i: F.xxhash64(*[F.get(hs, i + j) for j in range(k)]))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, broadcast if its counted rows allow it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def item_shingles(items: DataFrame, item_col: str, text_col: str, shingle: int) -> DataFrame:
     """(item_id, k, ws, n): distinct rows of items with words; k is the item's shingle length."""
     return (items.select(items[item_col].alias("item_id"), words(items[text_col]).alias("ws")).where(F.size("ws") > 0).distinct()
@@ -60,8 +57,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
 
     Counts are of distinct shingles. Rows that share an id are one document (or item), which holds
     the shingles of each of its rows; a null id is an id like others. Null and empty texts and
-    items without a letter or digit match nothing; either table may be empty; other columns are not
-    read.
+    items without a letter or digit match nothing; a very long text is searched whole, its shingles held by one task;
+    either table may be empty; other columns are not read.
     """
     spark = session(docs)
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
@@ -80,25 +77,36 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
     # the sketch: k least hashes, k by the item's size class
     hashed = own.withColumn("h", _shingle_hash(lengths))
     sized = own.groupBy(F.col("item_id").alias("i_id")).agg(F.count(F.lit(1)).alias("n_shingles"))  # a null id is an id
-    size_class = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n_shingles"))))
-    sized = written(sized.withColumn("sketch", F.least(F.col("n_shingles"), (F.floor(size_class * F.lit(1 - threshold) + F.lit(1e-9)) + 1).cast("long"))), "sizes")
+    sized = sized.withColumn("class", F.ceil(F.log2(F.col("n_shingles"))).cast("int"))
+    missing = F.floor(F.pow(F.lit(2.0), F.col("class")) * F.lit(1 - threshold) + F.lit(1e-9))
+    sized = written(sized.withColumn("sketch", F.least(F.col("n_shingles"), (missing + 1).cast("long"))), "sizes")
     sketches = (hashed.groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hs")).join(sized, same(F.col("item_id"), F.col("i_id")))
-                .select("item_id", F.explode(F.slice("hs", F.lit(1), F.col("sketch").cast("int"))).alias("h")))
+                .select("item_id", "class", "n_shingles", F.explode(F.slice("hs", F.lit(1), F.col("sketch").cast("int"))).alias("h")))
     sketches = written(sketches, "sketches")
-    top = sketches.agg(F.max("h")).first()[0]
+    # a row for each power of two: the largest sketch hash, and shingles that a match holds at least
+    least = F.ceil(F.min("n_shingles") * F.lit(threshold) - F.lit(1e-9))
+    classes = sketches.groupBy("class").agg(F.max("h").alias("top"), least.alias("least")).orderBy("class").collect()
 
     looked = texts.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hs"))
-    found = looked.select("doc_id", F.explode(F.filter(F.concat(*[_hashes(F.col("hs"), k) for k in lengths]), lambda h: h <= F.lit(top))).alias("h"))
-    pairs = written(found.join(_small(sketches), "h").select("doc_id", "item_id").distinct(), "candidates")
+    looked = looked.select("doc_id", F.concat(*[_hashes(F.col("hs"), k) for k in lengths]).alias("all"))
+
+    def of_class(row) -> Column:
+        near = F.transform(F.filter("all", lambda h: h <= F.lit(row.top)), lambda h: F.struct(F.lit(row["class"]).alias("class"), h.alias("h")))
+        return F.when(F.size("all") >= row.least, near).otherwise(F.array().cast("array<struct<class:int,h:bigint>>"))
+
+    # hashes are a column of their own: as an expression they would be made anew for each class
+    found = looked.select("doc_id", F.inline(F.concat(*[of_class(row) for row in classes])))
+    pairs = written(found.join(sketches.select("item_id", "class", "h"), ["class", "h"]).select("doc_id", "item_id").distinct(), "candidates")
+    remove(spark, sketches)
 
     # exact containment of the candidates
     suspects = written(pairs.select(F.col("doc_id").alias("s_id")).distinct(), "suspects")
-    held = texts.join(_small(suspects), same(texts["doc_id"], F.col("s_id")), "left_semi")
+    held = texts.join(suspects, same(texts["doc_id"], F.col("s_id")), "left_semi")
     held = held.select("doc_id", words(F.col("text")).alias("ws"))
     held = held.select("doc_id", F.explode(F.array_distinct(F.concat(*[_texts(F.col("ws"), k) for k in lengths]))).alias("shingle"))
-    hits = held.join(_small(own), "shingle").select("doc_id", "item_id", "shingle").distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_found"))
+    hits = held.join(own, "shingle").select("doc_id", "item_id", "shingle").distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_found"))
     share = F.col("n_found").cast("double") / F.col("n_shingles").cast("double")
-    scored = hits.join(_small(sized), same(F.col("item_id"), F.col("i_id"))).select("doc_id", "item_id", "n_shingles", "n_found", share.alias("containment"))
+    scored = hits.join(sized, same(F.col("item_id"), F.col("i_id"))).select("doc_id", "item_id", "n_shingles", "n_found", share.alias("containment"))
     named = pairs.select(F.col("doc_id").alias("p_doc"), F.col("item_id").alias("p_item"))
     return (scored.where(F.col("containment") >= threshold - 1e-12)
             .join(named, same(F.col("doc_id"), F.col("p_doc")) & same(F.col("item_id"), F.col("p_item")), "left_semi"))
@@ -115,8 +123,9 @@ def _shingle_hash(lengths: list[int]) -> Column:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold an item; all columns stay as they are."""
-    bad = written(contaminated(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(_small(bad), same(docs[id_col], bad["__bad"]), "left_anti")
+    (name,) = absent(docs, "bad")
+    bad = written(contaminated(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias(name)).distinct(), "bad")
+    return docs.join(bad, same(docs[id_col], bad[name]), "left_anti")
 
 
 #: DuckDB SQL for ``contaminated`` on the tables documents and benchmark.

@@ -43,6 +43,35 @@ def test_stages_take_effect(spark, tmp_path):
     assert sum(p.length for p in packed) == sum({p.doc_id: p.doc_tokens for p in packed}.values())
 
 
+def test_odd_tables(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    long = ". ".join(sentence(rng, 12).capitalize() for _ in range(1700))
+    text = sentence(rng, 80)
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, text), (None, None), (4, long), (5, f"{sentence(rng, 30)}\n{long}"), (6, " \n\t"), (7, "x"), (8, "x"), (2, "y " * 60)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("__doc", "__TH", "__gone", "__bad", "th", "fp", "root", "run", "item_id", "key"):
+        docs = docs.withColumn(name, F.lit(name))
+    labels = spark.createDataFrame([(1, None, 0), (None, 1, 1), (99, 1, 1), (7, 0, None)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, None), (None, "..."), (2, "")], "item_id long, text string")
+    for case, table in (("odd", docs), ("none", docs.limit(0))):
+        folder = f"{tmp_path}/{case}"
+        for name, df in (("documents", table), ("labels", labels if case == "odd" else labels.limit(0)), ("benchmark", items if case == "odd" else items.limit(0))):
+            df.write.parquet(f"{folder}/{name}.parquet")
+        now = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            after = stage(spark, now, folder)
+            assert after.columns == now.columns
+            now = spark.createDataFrame(after.collect(), after.schema)
+        ids = sorted(-1 if r.doc_id is None else r.doc_id for r in corpus_pipeline.run(spark, folder).select("doc_id").distinct().collect())
+        # the null id's copy of the first text stands first, so its lines stay there and document 1 is left without any
+        assert ids == sorted({-1 if r.doc_id is None else r.doc_id for r in now.collect()}) and (ids == [] if case == "none" else {4, 5, 7} <= set(ids))
+        if case == "odd":
+            kept = {(r.doc_id, r.text) for r in now.collect()}
+            assert (4, long) in kept and {t for i, t in kept if i == 5} != {rows[7][1]} and sum(not (t or "").strip() for _, t in kept) == 1 and sum(t == "x" for _, t in kept) == 1
+
+
 def test_registration():
     import __spark_entry__
 
