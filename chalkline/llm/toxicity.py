@@ -127,7 +127,10 @@ def best_threshold(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Chain:
-    """``labels`` (NaN where none is given) and ``weights`` (documents x categories); documents lie in order of their ids."""
+    """``labels`` (NaN where none is given) and ``weights`` (documents x categories); documents lie in order of their ids.
+
+    The list ``features`` is used up, so that the features are held once.
+    """
     n = len(ids)
     chain = Chain(categories)
     if n == 0:
@@ -143,11 +146,13 @@ def fit_chain(categories: list[str], ids: np.ndarray, features: list[np.ndarray]
     known = np.nonzero(counts >= LEAST_DOCS)[0]
     number = np.full(SPACE, -1, np.int32)
     number[known] = np.arange(len(known))
-    kept = [number[f[counts[f] >= LEAST_DOCS]] for f in features]
-    rows = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in kept])
-    cols = np.concatenate(kept)
+    for i, f in enumerate(features):
+        features[i] = number[f[counts[f] >= LEAST_DOCS]]
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in features])
+    cols = np.concatenate(features)
+    features.clear()
     space = len(known)
-    del counts, number, kept
+    del counts, number
     fold = np.array([xxhash.xxh32_intdigest(str(i).encode(), 3) % FOLDS for i in ids])
     extra = np.zeros((n, 0))
     for k in range(len(categories)):
@@ -267,7 +272,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], *, sample:
     ids = got["doc_id"].to_numpy()
     lists = got["features"].combine_chunks() if got.num_rows else None
     order = np.argsort(ids, kind="stable")
-    features = [] if lists is None else [lists.values.to_numpy()[lists.offsets[i].as_py() : lists.offsets[i + 1].as_py()] for i in order.tolist()]
+    features = []
+    if lists is not None:
+        flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        features = [flat[bounds[i] : bounds[i + 1]].copy() for i in order.tolist()]
+        del flat, bounds
+    del got, lists  # the copies are what the chain uses up
+    pa.default_memory_pool().release_unused()
     remove(spark, table)
     by_id = {r.doc_id: r for r in rows}
     y = np.array([[by_id[i][c] for c in categories] for i in ids[order].tolist()], float).reshape(-1, len(categories))
