@@ -98,9 +98,10 @@ def test_no_learning_documents(spark, make):
     assert maxent.score(make([])).count() == 0
 
 
-def test_symbols_are_a_distribution():
+@pytest.mark.parametrize("rows", [1 << 14, 1 << 17])
+def test_symbols_are_a_distribution(rows):
     v = maxent.Vocabulary({b"a": 0, b"b": 1, maxent.END: 2}, np.array([5, 3, 2]), 12, 5, 2, 2)
-    weights = maxent.first_weights(v)
+    weights = maxent.first_weights(v, rows)
     stream = maxent.Stream(v)
     _, hashes = stream.features([stream.codes([b"a", b"x", b"b"])])
     maxent.train_on(weights, *stream.features([stream.codes([b"a", b"b", maxent.END])]))
@@ -110,15 +111,17 @@ def test_symbols_are_a_distribution():
         assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
 
 
-def test_gradient_sums_of_rows():
+@pytest.mark.parametrize("n_rows", [9, 1 << 17])
+def test_gradient_sums_of_rows(n_rows):
     rng = np.random.default_rng(0)
     g = rng.normal(size=(50, 4)).astype(np.float32)
-    places = [rng.integers(0, 9, 50) for _ in range(3)]
-    rows, sums, uses = maxent._sums(g, places)
+    places = [rng.integers(0, 9, 50) + n_rows - 9 for _ in range(3)]
+    rows, sums, uses = maxent._sums(g, places, n_rows)
     wanted, n = np.zeros((9, 4)), np.zeros(9)
+    rows -= n_rows - 9
     for p in places:
-        np.add.at(wanted, p, g)
-        np.add.at(n, p, 1)
+        np.add.at(wanted, p - n_rows + 9, g)
+        np.add.at(n, p - n_rows + 9, 1)
     assert sums == pytest.approx(wanted[rows], abs=1e-4) and uses.tolist() == n[rows].tolist()
 
 
