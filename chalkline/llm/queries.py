@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, decontam, langid, linededup, maxent, packing, rabitq, simhash, toxicity, warc
+from . import arrowfile, crosstok, decontam, langid, linededup, maxent, packing, rabitq, simhash, toxicity, warc
 from .common import crc_of_id
 
 #: Tokenizer file of the packing and binary-output queries.
 TOKENIZER = "word_bpe_49k.json"
+#: The two tokenizers that are aligned.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,8 +76,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.link_statistics(_read(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op4_lm_scoring, op5_token_binary, op6_packing, op7_warc_derivatives, op8_nearest_neighbours, op9_benchmark_decontamination, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op4_lm_scoring, op5_token_binary, op6_packing, op7_warc_derivatives, op8_nearest_neighbours, op9_benchmark_decontamination, op10_line_dedup, op11_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
