@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, crosstok, decontam, langid, linededup, maxent, packing, rabitq, simhash, toxicity, warc
+from . import arrowfile, convfix, crosstok, decontam, exactdup, langid, linededup, maxent, packing, rabitq, simhash, toxicity, warc
 from .common import crc_of_id
 
 #: Tokenizer file of the packing and binary-output queries.
@@ -80,8 +80,16 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstok.link_statistics(_read(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_groups(_read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convfix.repair(convfix.damaged(_read(spark, sf_dir, "conversations")), present_col="present")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op4_lm_scoring, op5_token_binary, op6_packing, op7_warc_derivatives, op8_nearest_neighbours, op9_benchmark_decontamination, op10_line_dedup, op11_token_alignment)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_simhash_near_dedup, op4_lm_scoring, op5_token_binary, op6_packing, op7_warc_derivatives, op8_nearest_neighbours, op9_benchmark_decontamination, op10_line_dedup, op11_token_alignment, op12_exact_dedup, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
