@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +21,7 @@ from chalkline.functions import text as T
 from chalkline.functions.vectors import cosine
 from chalkline.resources.wordlists import stopwords
 from chalkline.scratch import written
+from chalkline.shipping import ship
 
 # Reciprocal rank constant, least cosine of a match, and BM25's parameters.
 RRF_K = 60
@@ -24,44 +29,91 @@ SIMILARITY_FLOOR = 0.15
 K1, B, EPSILON = 1.5, 0.75, 0.25
 
 
+#: Postings in a block.
+BLOCK = 128
+
+
 @dataclass
 class Index:
-    """postings (token, id, tf, dl), terms (token, df), and one row of totals (n, avgdl, mean_idf).
+    """Postings of words in blocks, terms (token, df), and one row of totals (n, avgdl, mean_idf).
 
-    An index that is not written yet has its points' sorted tokens (id, dl, tokens), of which a query takes its own first.
+    ``blocks`` (token, n, max_tf, min_dl, ids, tfs, dls, seg) holds a word's postings, those of the largest counts first, so that the
+    largest count and the least length of a block bound what its points can gain; ``seg`` is the segment a block is of. ``latest`` (id, last)
+    names the last segment that brings an id again: postings of that id in earlier ones are dead. An index that is not written
+    yet has its points' sorted tokens (id, dl, tokens) instead, of which a query takes its own first.
     """
 
-    postings: DataFrame
     terms: DataFrame
     totals: DataFrame
+    blocks: DataFrame | None = None
+    latest: DataFrame | None = None
     listed: DataFrame | None = None
 
-    def hits(self, words: list[str]) -> DataFrame:
-        """The postings of some tokens."""
-        if self.listed is None:
-            return self.postings.where(F.col("token").isin(words))
-        some = self.listed.select("id", "dl", F.filter("tokens", lambda x: x.isin(words)).alias("tokens")).where(F.size("tokens") > 0)
-        return some.select("id", "dl", F.inline(_counts("tokens"))).select("token", "id", "dl", "tf")
-
-    def write(self, path: str) -> Index:
-        """As Parquet; postings are sorted by token in each file, so that a query's filter skips row groups.
-
-        Returns the written index.
-        """
-        self.postings.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/postings")
+    def hits(self, words: list[str], blocks: DataFrame | None = None) -> DataFrame:
+        """Live postings (token, id, tf, dl) of some tokens."""
+        if self.blocks is None:
+            some = self.listed.select("id", "dl", F.filter("tokens", lambda x: x.isin(words)).alias("tokens")).where(F.size("tokens") > 0)
+            return some.select("id", "dl", F.inline(counted("tokens"))).select("token", "id", "dl", "tf")
+        rows = (self.blocks if blocks is None else blocks).where(F.col("token").isin(words))
+        return alive(rows.select("token", "seg", F.inline(F.arrays_zip("ids", "dls", "tfs")).alias("id", "dl", "tf")), self.latest).select("token", "id", "dl", "tf")
+
+    def write(self, path: str, block: int = BLOCK) -> Index:
+        """As one segment at ``path``; returns the written index."""
+        write_segment(self.listed, path, block)
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.totals.write.mode("overwrite").parquet(f"{path}/totals")
-        return Index.read(self.postings.sparkSession, path)
-
-    @staticmethod
-    def whole(spark, path: str) -> bool:
-        """Whether an index was written there to its end."""
-        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/totals/_SUCCESS")
-        return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+        return Index.read(self.terms.sparkSession, path)
 
     @staticmethod
     def read(spark, path: str) -> Index:
-        return Index(*(spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "totals")))
+        blocks = spark.read.parquet(f"{path}/blocks").withColumn("seg", F.lit(0))
+        return Index(spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/totals"), blocks)
+
+
+def whole(spark, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def alive(rows: DataFrame, latest: DataFrame | None) -> DataFrame:
+    """Rows (id, seg, ...) that no later segment replaces."""
+    if latest is None:
+        return rows
+    return rows.join(latest, "id", "left").where(F.col("last").isNull() | (F.col("last") <= F.col("seg"))).drop("last")
+
+
+def write_segment(listed: DataFrame, path: str, block: int = BLOCK) -> None:
+    """The segment of some points' sorted tokens (id, dl, tokens): ``docs`` (id, dl, tokens: distinct ones) and ``blocks``.
+
+    Postings are dealt by ranges of token and count, so that a common word lies over many tasks, and a query opens
+    few files.
+    """
+    spark = listed.sparkSession
+    ship(spark)
+    listed.select("id", "dl", F.array_distinct("tokens").alias("tokens")).write.mode("overwrite").parquet(f"{path}/docs")
+    kind = listed.schema["id"].dataType.simpleString()
+    postings = listed.select("id", "dl", F.inline(counted("tokens"))).select("token", F.col("tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl"), "id")
+    order = ["token", F.desc("tf"), "dl", "id"]
+    dealt = postings.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    schema = f"token string, n int, max_tf int, min_dl int, ids array<{kind}>, tfs array<int>, dls array<int>"
+    dealt.mapInArrow(lambda batches: _blocks(batches, block), schema).write.mode("overwrite").parquet(f"{path}/blocks")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Sorted postings into blocks of one token each."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        token, tf, dl, ids = batch.columns
+        codes = pc.dictionary_encode(token).indices.to_numpy()
+        starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        ends = np.append(starts[1:], len(codes))
+        cuts = np.concatenate([np.arange(a, b, block) for a, b in zip(starts, ends)])
+        bounds = pa.array(np.append(cuts, len(codes)), pa.int32())
+        arrays = [token.take(pa.array(cuts)), pa.array(np.diff(np.append(cuts, len(codes))), pa.int32()), pa.array(np.maximum.reduceat(tf.to_numpy(), cuts), pa.int32()),
+                  pa.array(np.minimum.reduceat(dl.to_numpy(), cuts), pa.int32()), *(pa.ListArray.from_arrays(bounds, values) for values in (ids, tf, dl))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["token", "n", "max_tf", "min_dl", "ids", "tfs", "dls"])
 
 
 def query_tokens(query: str) -> list[str]:
@@ -75,7 +127,7 @@ def _idf(n, df):
     return F.log(n - df + F.lit(0.5)) - F.log(df + F.lit(0.5))
 
 
-def _counts(tokens: str) -> F.Column:
+def counted(tokens: str) -> F.Column:
     """(token, tf) of each distinct one of the sorted tokens: counted in the row, so that nothing is dealt by token and document."""
     new = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)))
     starts = F.when(F.size(tokens) > 0, new).otherwise(F.array().cast("array<int>"))
@@ -83,44 +135,104 @@ def _counts(tokens: str) -> F.Column:
     return F.get(F.transform(F.array(starts), pairs), F.lit(0))  # in a lambda, so that starts are made once
 
 
+def token_lists(points: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """(id, dl, tokens): each point's tokens in order, repeated ones kept. Null texts are empty."""
+    listed = points.select(F.col(id_col).alias("id"), T.content_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("tokens"))
+    return listed.select("id", F.size("tokens").alias("dl"), F.sort_array("tokens").alias("tokens"))
+
+
 def build_index(points: DataFrame, id_col: str = "id", text_col: str = "text") -> Index:
-    """Index of all points; points without tokens count in the totals. Null texts are empty.
+    """Index of all points; points without tokens count in the totals.
 
     Tokens are written first, so that texts are read once for all that is counted in them.
     """
-    listed = points.select(F.col(id_col).alias("id"), T.content_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("tokens"))
-    listed = written(listed.select("id", F.size("tokens").alias("dl"), F.sort_array("tokens").alias("tokens")), "tokens")
-    postings = listed.select("id", "dl", F.inline(_counts("tokens"))).select("token", "id", "dl", "tf")
+    listed = written(token_lists(points, id_col, text_col), "tokens")
     terms = written(listed.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")), "terms")
-    return Index(postings, terms, _totals(listed, terms), listed)
+    return Index(terms, totals(listed, terms), listed=listed)
 
 
-def _totals(sized: DataFrame, terms: DataFrame) -> DataFrame:
+def totals(sized: DataFrame, terms: DataFrame) -> DataFrame:
     """Of a row with ``dl`` for each point."""
     sizes = sized.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     mean = terms.crossJoin(F.broadcast(sizes)).agg(F.avg(_idf(F.col("n"), F.col("df"))).alias("mean_idf"))  # sizes: one row
     return sizes.crossJoin(mean)
 
 
-def bm25(index: Index, query: str) -> DataFrame:
-    """(id, score, rank) of points with a positive score. A token that the query repeats counts each time.
+def _weights(index: Index, query: str) -> DataFrame:
+    """(token, weight, avgdl) of the query's words that the index holds; at most as many rows as it has words.
 
-    Terms in over half of the points have a quarter of the mean idf instead of their own negative one.
+    Terms in over half of the points have a quarter of the mean idf instead of their own negative one. A token that the query repeats counts each time.
     """
     asked = Counter(query_tokens(query))
-    spark = index.postings.sparkSession
-    if not asked:
-        return spark.createDataFrame([], f"id {dict(index.postings.dtypes)['id']}, score double, rank int")
-    words = sorted(asked)
-    times = F.create_map(*[F.lit(x) for w in words for x in (w, asked[w])])
+    times = F.create_map(*[F.lit(x) for w in sorted(asked) for x in (w, asked[w])])
     own = F.when(_idf(F.col("n"), F.col("df")) < 0, F.lit(EPSILON) * F.col("mean_idf")).otherwise(_idf(F.col("n"), F.col("df")))
-    weights = index.terms.where(F.col("token").isin(words)).crossJoin(F.broadcast(index.totals)).select("token", own.alias("idf"), "avgdl")
-    near = F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("avgdl")))
-    hits = index.hits(words).join(F.broadcast(weights), "token")  # as many rows as the query has words
+    return index.terms.where(F.col("token").isin(sorted(asked))).crossJoin(F.broadcast(index.totals)).select("token", own.alias("idf"), times[F.col("token")].alias("times"), "avgdl")
+
+
+def _near(tf: F.Column, dl: F.Column, avgdl: F.Column) -> F.Column:
+    return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / avgdl))
+
+
+def bm25_scores(index: Index, query: str, blocks: DataFrame | None = None) -> DataFrame:
+    """(id, score) of points with a positive score."""
+    words = sorted(set(query_tokens(query)))
+    if not words:
+        kind = dict((index.listed if index.blocks is None else index.blocks.select(F.explode("ids").alias("id"))).dtypes)["id"]
+        return index.terms.sparkSession.createDataFrame([], f"id {kind}, score double")
+    hits = index.hits(words, blocks).join(F.broadcast(_weights(index, query)), "token")
     # a query's few parts are added in one order, so that equal texts have equal scores
-    parts = F.array_sort(F.collect_list(F.col("idf") * near * times[F.col("token")]))
-    scored = hits.groupBy("id").agg(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x).alias("score")).where("score > 0")
-    return _ranked(scored)
+    parts = F.array_sort(F.collect_list(F.col("idf") * _near(F.col("tf"), F.col("dl"), F.col("avgdl")) * F.col("times")))
+    return hits.groupBy("id").agg(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x).alias("score")).where("score > 0")
+
+
+def bm25(index: Index, query: str) -> DataFrame:
+    """(id, score, rank) of points with a positive score."""
+    return _ranked(bm25_scores(index, query))
+
+
+def best_blocks(index: Index, query: str, k: int) -> DataFrame:
+    """The blocks that can hold one of the ``k`` best points of a query.
+
+    The blocks of the largest bounds are read first; the ``k``-th best sum of what they give is a score that ``k`` points reach. A
+    block is left out if its bound and the largest bounds of the query's other words stay below it: then so does every point in it. The
+    least count that a kept block must hold goes to the scan as a filter.
+    """
+    weights = _weights(index, query).collect()
+    rows = index.blocks.where(F.col("token").isin([w.token for w in weights]))
+    if not weights:
+        return rows
+    gain = F.create_map(*[F.lit(x) for w in weights for x in (w.token, float(w.idf * w.times))])[F.col("token")]
+    bound = F.greatest(gain * _near(F.col("max_tf").cast("double"), F.col("min_dl").cast("double"), F.lit(float(weights[0].avgdl))), F.lit(0.0))
+    bounded = rows.withColumn("bound", bound)
+    most = {r.token: r.m for r in bounded.groupBy("token").agg(F.max("bound").alias("m")).collect()}
+    first = bounded.orderBy(F.desc("bound"), "token").limit(len(weights) * (1 + k // BLOCK)).drop("bound")
+    sums = bm25_scores(index, query, first).orderBy(F.desc("score")).limit(k).collect()
+    if len(sums) < k:
+        return rows
+    reached = sums[-1].score * (1 - 1e-9)  # sums in another order may differ in their last digits
+    total, kept = sum(most.values()), F.lit(False)
+    for w in weights:
+        if w.token not in most:
+            continue
+        needed = reached - (total - most[w.token])
+        weight = float(w.idf * w.times)
+        if needed <= 0:
+            least = 0
+        elif weight <= 0 or needed >= weight * (K1 + 1):
+            continue
+        else:  # tf (K1 + 1) / (tf + K1 (1 - B)) is above what any length gives
+            least = int(needed * K1 * (1 - B) / (weight * (K1 + 1) - needed))
+        kept = kept | ((F.col("token") == w.token) & (F.col("max_tf") >= least) & (F.col("bound") >= needed))
+    return bounded.where(kept).drop("bound")
+
+
+def best(index: Index, query: str, k: int) -> DataFrame:
+    """(id, score) of the ``k`` best points, ties to the smaller id: as ``bm25``, from the blocks that can hold them."""
+    if not query_tokens(query) or index.blocks is None:
+        scored = bm25_scores(index, query)
+    else:
+        scored = bm25_scores(index, query, best_blocks(index, query, k))
+    return scored.orderBy(F.desc("score"), "id").limit(k)
 
 
 def _ranked(scored: DataFrame) -> DataFrame:
@@ -139,16 +251,17 @@ def _ranked(scored: DataFrame) -> DataFrame:
 
 def vector_ranking(points: DataFrame, vector: list[float], *, floor: float = SIMILARITY_FLOOR, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
     """(id, score, rank) of points whose cosine with ``vector`` reaches the floor; null and zero vectors have none."""
+    return _ranked(_cosines(points, vector, id_col, vector_col).where(F.col("score") >= floor))
+
+
+def _cosines(points: DataFrame, vector: list[float], id_col: str, vector_col: str) -> DataFrame:
     query = F.array(*[F.lit(float(x)) for x in vector])
-    scored = points.select(F.col(id_col).alias("id"), cosine(F.col(vector_col), query).alias("score")).where(F.col("score") >= floor)
-    return _ranked(scored)
+    return points.select(F.col(id_col).alias("id"), cosine(F.col(vector_col), query).alias("score"))
 
 
 def nearest(points: DataFrame, vector: list[float], limit: int, *, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
     """(id, score) of the ``limit`` points of the largest cosine, best first, ties to the smaller id."""
-    query = F.array(*[F.lit(float(x)) for x in vector])
-    scored = points.select(F.col(id_col).alias("id"), cosine(F.col(vector_col), query).alias("score"))
-    return scored.where(F.col("score").isNotNull()).orderBy(F.desc("score"), "id").limit(limit)
+    return _cosines(points, vector, id_col, vector_col).where(F.col("score").isNotNull()).orderBy(F.desc("score"), "id").limit(limit)
 
 
 def fuse(rankings: list[DataFrame], k: int = RRF_K) -> DataFrame:
@@ -165,14 +278,66 @@ def fuse(rankings: list[DataFrame], k: int = RRF_K) -> DataFrame:
     return fused.select("id", "score", F.col("met.list").alias("first_list"), F.col("met.rank").alias("first_rank"))
 
 
-def hybrid(index: Index, points: DataFrame, query: str, vector: list[float] | None, *, k: int = 8, id_col: str = "id", vector_col: str = "vector") -> DataFrame:
-    """The ``k`` best points of both rankings, with all columns of ``points`` but the vector, and ``score``; words alone without a query vector."""
-    rankings = [bm25(index, query)]
+def fused_depth(k: int) -> int:
+    """How deep two rankings must be read for the ``k`` best of both: a point below that in each has less than a point of rank ``k`` in one."""
+    return RRF_K + 2 * k
+
+
+def _places(scored: DataFrame, wanted: dict) -> dict:
+    """The rank among ``scored`` of each wanted (id: score), by counting what is ahead of it: no row is ranked."""
+    if not wanted:
+        return {}
+    marks = sorted(wanted.items(), key=lambda m: (-m[1], m[0]))
+    kind = scored.schema["id"].dataType
+    listed = F.array(*[F.struct(F.lit(i).cast(kind).alias("id"), F.lit(float(s)).alias("score")) for i, s in marks])
+    ahead = lambda m: (F.col("score") > m["score"]) | ((F.col("score") == m["score"]) & (F.col("id") < m["id"]))
+    rows = scored.where(F.col("score") >= float(marks[-1][1])).select(F.size(F.filter(listed, ahead)).alias("passed")).groupBy("passed").count().collect()
+    return {i: 1 + sum(r["count"] for r in rows if r.passed >= len(marks) - n) for n, (i, _) in enumerate(marks)}
+
+
+def fused_best(best_of: list[Callable[[int], DataFrame]], scores: list[Callable[[], DataFrame]], k: int) -> list[tuple]:
+    """The ``k`` best (id, score) of rankings fused by reciprocal ranks, equal to the head of ``fuse`` over the whole ones.
+
+    ``best_of[i](d)`` gives the d best (id, score) of a ranking, ``scores[i]()`` all of them unordered. Only ``fused_depth(k)`` rows
+    of each are ordered, and these reach the driver. A point among them that another ranking may hold further down is looked up there if that could
+    put it among the best, and its rank is counted.
+    """
+    depth = fused_depth(k)
+    heads = [[(r.id, r.score) for r in b(depth).collect()] for b in best_of]
+    ranks = [{i: n for n, (i, _) in enumerate(head, 1)} for head in heads]
+    points = set().union(*ranks)
+    known = {i: sum(1.0 / (RRF_K + r[i]) for r in ranks if i in r) for i in points}
+    sure = sorted(known.values(), reverse=True)[:k]
+    for r, head, every in zip(ranks, heads, scores):
+        more = 1.0 / (RRF_K + depth + 1)
+        open_ = [i for i in points - r.keys() if len(head) == depth and (len(sure) < k or known[i] + more * len(ranks) >= sure[-1])]
+        if open_:
+            whole_ = every()
+            own = {x.id: x.score for x in whole_.where(F.col("id").isin(open_)).collect()}
+            r.update(_places(whole_, own))
+    met = {i: min((n, r[i]) for n, r in enumerate(ranks) if i in r) for i in points}
+    total = {i: sum(1.0 / (RRF_K + r[i]) for r in ranks if i in r) for i in points}
+    order = sorted(points, key=lambda i: (-total[i], met[i], i))
+    return [(i, total[i]) for i in order[:k]]
+
+
+def hybrid(index: Index, points: DataFrame, query: str, vector: list[float] | None, *, k: int = 8, id_col: str = "id", vector_col: str = "vector",
+           nearest_of: Callable[[int], DataFrame] | None = None) -> DataFrame:
+    """The ``k`` best points of both rankings, with all columns of ``points`` but the vector, and ``score``; words alone without a query vector.
+
+    ``nearest_of(d)``, if given, is an index's way to the d points of the largest cosine.
+    """
+    best_of, scores = [lambda d: best(index, query, d)], [lambda: bm25_scores(index, query)]
     if vector is not None:
-        rankings.append(vector_ranking(points, vector, id_col=id_col, vector_col=vector_col))
-    best = fuse(rankings).orderBy(F.desc("score"), "first_list", "first_rank", "id").limit(k)
-    found = points.drop(vector_col).join(F.broadcast(best.withColumnRenamed("id", "__id")), F.col(id_col) == F.col("__id"))  # k rows
-    return found.orderBy(F.desc("score"), "first_list", "first_rank").drop("__id", "first_list", "first_rank")
+        near = nearest_of or (lambda d: nearest(points, vector, d, id_col=id_col, vector_col=vector_col))
+        best_of.append(lambda d: near(d).where(F.col("score") >= SIMILARITY_FLOOR))
+        scores.append(lambda: _cosines(points, vector, id_col, vector_col).where(F.col("score") >= SIMILARITY_FLOOR))
+    found = fused_best(best_of, scores, k)
+    rows = points.drop(vector_col)
+    ordered = [(i, n, s) for n, (i, s) in enumerate(found)]
+    listed = points.sparkSession.createDataFrame(ordered, f"__id {points.schema[id_col].dataType.simpleString()}, __n int, score double")  # k rows
+    picked = rows.where(F.col(id_col).isin([i for i, _ in found])) if found else rows.limit(0)
+    return picked.join(F.broadcast(listed), F.col(id_col) == F.col("__id")).orderBy("__n").drop("__id", "__n")
 
 
 def results(found: DataFrame) -> DataFrame:

@@ -252,4 +252,5 @@ def search_collection(spark: SparkSession, query: str, store: Store, collection:
     """The best ``k`` notes of a collection; words alone without an embedder."""
     points = store.with_vectors(collection)
     vector = embedder.embed([query], model=model)[0] if embedder is not None else None
-    return search.results(search.hybrid(store.index(collection), points, query, vector, k=k))
+    near = None if vector is None else lambda d: store.vector_search(collection, vector, d)
+    return search.results(search.hybrid(store.index(collection), points, query, vector, k=k, nearest_of=near))

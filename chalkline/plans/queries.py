@@ -15,6 +15,7 @@ from chalkline.functions import text as T
 from chalkline.functions import vectors as V
 from chalkline.operators import align, distill, evaluate, knowledge, models, render, scenes, search, transcripts
 from chalkline.resources.wordlists import CODE_KEYWORDS, stopwords
+from chalkline.scratch import shared_dir, state_of
 
 #: What the search queries ask for, and the vocabulary that is looked for.
 QUERY = "thnd ering the tion erth onst onst"
@@ -141,7 +142,12 @@ def content_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_index(spark: SparkSession, sf_dir: str) -> search.Index:
-    return search.build_index(_read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    """The kept index of the documents, built once for each state of their files in a session."""
+    docs = _read(spark, sf_dir, "documents")
+    path = f"{shared_dir(spark)}/words-{state_of(docs)}"
+    if search.whole(spark, f"{path}/totals"):
+        return search.Index.read(spark, path)
+    return search.build_index(docs.select("doc_id", "text"), "doc_id").write(path)
 
 
 def bm25(spark: SparkSession, sf_dir: str) -> DataFrame:

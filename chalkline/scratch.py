@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import tempfile
@@ -45,6 +46,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def state_of(table: DataFrame) -> str:
+    """A digest of the names, sizes and times of a table's files: another one as soon as one of them changes."""
+    spark = session(table)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    told = []
+    for file in sorted(table.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        told.append(f"{file} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()[:24]
+
+
 def remove(spark: SparkSession, *tables: DataFrame | str) -> None:
     """Delete written tables (or folders) that no later plan reads."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
