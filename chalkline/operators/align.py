@@ -2,18 +2,22 @@
 
 ``segments`` and ``visuals`` are the tables of ``schemas.TABLES``. Order inside a job is time, then
 the ordinal. A job's visuals part its time into intervals, each up to the next visual; the last has no
-end. Joins are on the job and a time bucket, so that a long or very frequent job is spread over tasks.
+end. Segments meet intervals in a sweep over ranges of time, so that a long or very frequent job is spread over tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from chalkline.functions import text as T
 from chalkline.functions.vectors import common_lines
+from chalkline.scratch import written
 from chalkline.shipping import ship
 
 # Seconds before a boundary in which speech may belong to what comes next, share of lines
@@ -31,23 +35,108 @@ def intervals(visuals: DataFrame) -> DataFrame:
             .withColumn("until", F.coalesce(F.lead("timestamp").over(order), F.lit(float("inf")))))
 
 
-def anchor(segments: DataFrame, visuals: DataFrame, *, bucket_seconds: float = 600.0) -> DataFrame:
+#: Order of what happens at one time in a sweep: speech ends, a visual appears, speech begins.
+ENDS, APPEARS, BEGINS = 0, 1, 2
+
+
+def swept(segments: DataFrame, visuals: DataFrame) -> DataFrame:
+    """(job_id, seg_ord, n_start, n_end, shown_at): visuals that appear by a segment's start and before its end, and when the last of these appeared.
+
+    All times lie in one order, cut into ranges, so that a long job lies over many tasks. A task counts through its range; what a
+    job has before a range is added from the counts at the borders, one row a task.
+    """
+    spark = segments.sparkSession
+    ship(spark)
+    kind = lambda k: F.lit(k).alias("kind")
+    said = segments.where(F.col("end") > F.col("start"))
+    points = (visuals.select("job_id", F.coalesce("timestamp", F.lit(float("-inf"))).alias("t"), kind(APPEARS), F.col("vis_ord").cast("long").alias("o"))
+              .unionByName(said.select("job_id", F.col("start").alias("t"), kind(BEGINS), F.col("seg_ord").cast("long").alias("o")))
+              .unionByName(said.select("job_id", F.col("end").alias("t"), kind(ENDS), F.col("seg_ord").cast("long").alias("o"))))
+    order = ["job_id", "t", "kind", "o"]
+    job = segments.schema["job_id"].dataType.simpleString()
+    dealt = points.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    dealt = dealt.select(*order, F.spark_partition_id().alias("part"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Visuals of a job met in this range, and the time of the last; ``at_border`` marks rows of the job that the range begins with."""
+        now, n, last, border, part, started = None, 0, None, True, 0, False
+        for batch in batches:
+            jobs, kinds, times = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist()
+            seen, lasts, borders = [], [], []
+            for j, k, t in zip(jobs, kinds, times):
+                if started and j != now:
+                    n, last, border = 0, None, False
+                now, started = j, True
+                if k == APPEARS:
+                    n, last = n + 1, t
+                seen.append(n)
+                lasts.append(last)
+                borders.append(border)
+            part = batch.column(4)[0].as_py() if len(batch) else part
+            keep = pa.array([k != APPEARS for k in kinds], pa.bool_())
+            whole = pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(2), pa.array(seen, pa.int64()), pa.array(lasts, pa.float64()), batch.column(4), pa.array(borders, pa.bool_())],
+                                               names=["job_id", "o", "kind", "n", "last", "part", "at_border"])
+            yield whole.filter(keep)
+        if started:  # what the next range begins with, told by a null kind
+            yield pa.RecordBatch.from_arrays([pa.array([now], whole.column(0).type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([n], pa.int64()), pa.array([last], pa.float64()), pa.array([part], pa.int32()), pa.array([border], pa.bool_())],
+                                             names=["job_id", "o", "kind", "n", "last", "part", "at_border"])
+
+    counted = written(dealt.mapInArrow(count, f"job_id {job}, o long, kind int, n long, last double, part int, at_border boolean"), "swept")
+    carried, now = {}, (None, 0, None)  # of each range: the job before it, its visuals so far, and its last time
+    for r in sorted(counted.where("kind is null").collect(), key=lambda r: r.part):  # a row a range
+        carried[r.part] = now
+        same = r.at_border and now[0] == r.job_id
+        now = (r.job_id, r.n + (now[1] if same else 0), r.last if r.last is not None else (now[2] if same else None))
+    before = spark.createDataFrame([(p, *c) for p, c in carried.items()], f"part int, before_job {job}, before_n long, before_last double")
+    rows = counted.where("kind is not null").join(F.broadcast(before), "part")
+    goes_on = F.col("at_border") & F.col("before_job").eqNullSafe(F.col("job_id"))
+    rows = rows.select("job_id", F.col("o").alias("seg_ord"), "kind", (F.col("n") + F.when(goes_on, F.col("before_n")).otherwise(0)).alias("n"),
+                       F.coalesce("last", F.when(goes_on, F.col("before_last"))).alias("last"))
+    at = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c)))
+    return rows.groupBy("job_id", "seg_ord").agg(at(BEGINS, "n").alias("n_start"), at(ENDS, "n").alias("n_end"), at(ENDS, "last").alias("shown_at"))
+
+
+def _longest(spans: DataFrame, wanted: DataFrame) -> DataFrame:
+    """For (job_id, seg_ord, lo, hi) the (length, place) of the longest of the spans lo..hi, the earliest of equal ones.
+
+    Spans are (job_id, idx, length). A table of the longest of 1, 2, 4, ... spans from each on answers any range by two of its rows.
+    """
+    best = lambda a, b: F.when(b["length"] > a["length"], b).otherwise(a)
+    steps = wanted.select(F.max(F.col("hi") - F.col("lo") + 1).alias("m")).first().m
+    level = spans.select("job_id", "idx", F.struct("length", F.col("idx").alias("place")).alias("best"))
+    table, size = level.withColumn("size", F.lit(1)), 1
+    while steps is not None and size * 2 <= steps:
+        later = level.select("job_id", (F.col("idx") - size).alias("idx"), F.col("best").alias("other"))
+        level = level.join(later, ["job_id", "idx"]).select("job_id", "idx", best(F.col("best"), F.col("other")).alias("best"))
+        size *= 2
+        table = table.unionByName(level.withColumn("size", F.lit(size)))
+    asked = wanted.withColumn("size", F.expr("cast(shiftleft(1, cast(floor(log2(hi - lo + 1)) as int)) as int)"))
+    one = asked.join(table.withColumnRenamed("idx", "lo").withColumnRenamed("best", "one"), ["job_id", "lo", "size"])
+    both = one.withColumn("from", F.col("hi") - F.col("size") + 1).join(table.withColumnRenamed("idx", "from").withColumnRenamed("best", "two"), ["job_id", "from", "size"])
+    return both.select("job_id", "seg_ord", best(F.col("one"), F.col("two")).alias("middle"))
+
+
+def anchor(segments: DataFrame, visuals: DataFrame) -> DataFrame:
     """``segments`` of jobs that have visuals, with ``idx``: the interval that a segment overlaps most.
 
-    Ties go to the earliest interval, and so does a segment that overlaps none. Segment and interval
-    meet in the buckets of time that both touch; the last interval is cut at its job's last speech.
+    Ties go to the earliest interval, and so does a segment that overlaps none. A sweep through the times gives the intervals that a segment begins and
+    ends in; only one that begins and ends in different ones meets others: the first's end, and the longest of those between, from a table of
+    ranges. So no segment is joined to all the intervals it covers.
     """
-    spans = intervals(visuals).select("job_id", "idx", F.col("timestamp").alias("a"), F.col("until").alias("b"))
-    last = segments.groupBy("job_id").agg(F.max("end").alias("last"))
-    bucket = lambda t: F.floor(t / F.lit(float(bucket_seconds)))
-    upto = F.least("b", "last")
-    spans = (spans.join(last, "job_id").where(F.col("a") <= F.col("last"))
-             .withColumn("bucket", F.explode(F.sequence(bucket(F.col("a")), F.greatest(bucket(F.col("a")), bucket(upto))))))
-    own = segments.select("job_id", "seg_ord", "start", "end").where(F.col("end") > F.col("start"))
-    own = own.withColumn("bucket", F.explode(F.sequence(bucket(F.col("start")), bucket(F.col("end")))))
-    shared = F.least("end", "b") - F.greatest("start", "a")
-    best = (own.join(spans, ["job_id", "bucket"]).withColumn("shared", shared).where("shared > 0")
-            .groupBy("job_id", "seg_ord").agg(F.max_by("idx", F.struct("shared", -F.col("idx"))).alias("best")))
+    spans = intervals(visuals).select("job_id", "idx", F.coalesce("timestamp", F.lit(float("-inf"))).alias("a"), F.col("until").alias("b"))
+    found = swept(segments, visuals).select("job_id", "seg_ord", (F.col("n_start") - 1).cast("int").alias("lo"), (F.col("n_end") - 1).cast("int").alias("hi"), "shown_at")
+    found = written(found.where("hi >= 0"), "anchored")
+    crossing = found.where("lo < hi").join(segments.select("job_id", "seg_ord", "start", "end"), ["job_id", "seg_ord"])
+    wanted = crossing.where("hi - lo >= 2").select("job_id", "seg_ord", (F.col("lo") + 1).alias("lo"), (F.col("hi") - 1).alias("hi"))
+    middle = _longest(spans.select("job_id", "idx", (F.col("b") - F.col("a")).alias("length")), wanted)
+    ends = spans.select("job_id", F.col("idx").alias("lo"), F.col("b").alias("first_end"))
+    none = F.struct(F.lit(-1.0).alias("length"), F.lit(-1).alias("place"))
+    told = crossing.join(ends, ["job_id", "lo"], "left").join(middle, ["job_id", "seg_ord"], "left")
+    first = F.when(F.col("lo") >= 0, F.struct((F.col("first_end") - F.col("start")).alias("length"), F.col("lo").alias("place"))).otherwise(none)
+    last = F.struct((F.col("end") - F.greatest("shown_at", "start")).alias("length"), F.col("hi").alias("place"))
+    better = lambda x, y: F.when(y["length"] > x["length"], y).otherwise(x)
+    chosen = told.select("job_id", "seg_ord", better(better(first, F.coalesce("middle", none)), last)["place"].alias("best"))
+    best = found.where("lo = hi").select("job_id", "seg_ord", F.col("lo").alias("best")).unionByName(chosen)
     shown = visuals.select("job_id").distinct()
     return (segments.join(shown, "job_id", "left_semi").join(best, ["job_id", "seg_ord"], "left")
             .withColumn("idx", F.coalesce("best", F.lit(0))).drop("best"))
@@ -226,14 +315,14 @@ def split_bounds(parts: DataFrame) -> DataFrame:
     return whole.unionByName(cut)
 
 
-def align(segments: DataFrame, visuals: DataFrame, languages: DataFrame | None = None, *, bucket_seconds: float = 600.0) -> tuple[DataFrame, DataFrame]:
+def align(segments: DataFrame, visuals: DataFrame, languages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(timeline, report) of all jobs: the five rules in their order.
 
     timeline: job_id, chunk_ord, start, end, segments, visuals, flags. report: job_id, chunk_count,
     segment_count, lookahead_moves, scroll_merges, orphans. A job without visuals is one chunk of all
     its speech, cut at pauses; one without speech keeps its visuals in a last chunk.
     """
-    placed = lookahead(anchor(segments, visuals, bucket_seconds=bucket_seconds), visuals, languages)
+    placed = lookahead(anchor(segments, visuals), visuals, languages)
     moves = placed.groupBy("job_id").agg(F.sum("hops").cast("int").alias("lookahead_moves"))
     parts = attach_orphans(merge_scrolls(chunks(placed, visuals)))
     counts = parts.groupBy("job_id").agg(F.sum("merges").cast("int").alias("scroll_merges"), F.sum("orphans").cast("int").alias("orphans"))

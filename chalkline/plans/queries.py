@@ -51,19 +51,19 @@ placed AS (SELECT job_id, event_id, a, b, idx FROM (SELECT *, row_number() OVER
 
 def anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     said, shown = _events(spark, sf_dir)
-    return align.anchor(said, shown, bucket_seconds=20_000.0).select("job_id", F.col("seg_ord").alias("event_id"), F.col("idx").cast("int").alias("idx"))
+    return align.anchor(said, shown).select("job_id", F.col("seg_ord").alias("event_id"), F.col("idx").cast("int").alias("idx"))
 
 
 def visual_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     said, shown = _events(spark, sf_dir)
-    parts = align.chunks(align.anchor(said, shown, bucket_seconds=20_000.0), shown)
+    parts = align.chunks(align.anchor(said, shown), shown)
     start, end = align.bounds(F.col("segments"), F.col("visuals"))
     return parts.select("job_id", F.col("idx").cast("int").alias("idx"), start.alias("start"), end.alias("end"), F.size("segments").alias("n_segments"))
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     said, shown = _events(spark, sf_dir)
-    parts = align.chunks(align.anchor(said, shown, bucket_seconds=20_000.0), shown).withColumn("merges", F.lit(0))
+    parts = align.chunks(align.anchor(said, shown), shown).withColumn("merges", F.lit(0))
     found = align.attach_orphans(parts)
     return found.select("job_id", F.when(F.col("idx") < 2147483647, F.col("idx")).cast("int").alias("idx"), F.size("visuals").alias("n_visuals"), F.size("segments").alias("n_segments"), F.col("orphans"))
 

@@ -101,7 +101,7 @@ def test_anchor_equals_brute_force_with_ties(spark):
     segments = [(a := rng.randint(-5, 60), a + rng.choice([0, 1, 5, 40])) for _ in range(120)]
     visuals = sorted({(rng.randint(0, 50),) for _ in range(12)})
     said, shown = tables(spark, [(a, b, "") for a, b in segments], [(v[0], "") for v in visuals])
-    got = {r.seg_ord: r.idx for r in align.anchor(said, shown, bucket_seconds=7.0).collect()}
+    got = {r.seg_ord: r.idx for r in align.anchor(said, shown).collect()}
     assert [got[i] for i in range(len(segments))] == brute(segments, visuals)
 
 
@@ -141,3 +141,29 @@ def test_empty_tables(spark):
     only, report = aligned(spark, [], [(1, "a"), (2, "b")])
     assert len(only) == 1 and only[0].flags == ["orphan"] and report[0].orphans == 2
     assert F is not None
+
+
+def test_a_long_segment_over_many_short_intervals(spark):
+    """Rows that meet in joins grow with the input, not with the intervals that segments cover."""
+    rng = random.Random(4)
+    times = sorted(rng.uniform(0, 1000) for _ in range(600)) + [1000.0]
+    times[300:303] = [times[299]] * 3  # at one time: intervals of no length
+    talks = [(-5.0, 1200.0)] * 40 + [(a, a + rng.choice([0.0, 0.5, 3.0, 200.0])) for a in (rng.uniform(-10, 1100) for _ in range(300))]
+    said, shown = tables(spark, [(a, b, "x") for a, b in talks], [(t, "v") for t in times])
+    more_said, more_shown = tables(spark, [(1, 2, "x"), (9, 3, "x")], [(5, "v")], job="k")
+    got = {(r.job_id, r.seg_ord): r.idx for r in align.anchor(said.unionByName(more_said), shown.unionByName(more_shown)).collect()}
+    ends = [*times[1:], float("inf")]
+    for n, (a, b) in enumerate(talks):
+        shared = [min(b, e) - max(a, t) for t, e in zip(times, ends)]
+        assert got["j", n] == (max(range(len(times)), key=lambda i: (shared[i], -i)) if max(shared) > 0 else 0)
+    assert got["k", 0] == got["k", 1] == 0
+    swept = align.swept(said, shown)
+    assert swept.count() == sum(b > a for a, b in talks)
+
+
+def test_a_sweep_carries_over_the_borders_of_ranges(spark):
+    talks, times = [(i + 0.25, i + 0.75) for i in range(400)], [0.0, 350.0]
+    said, shown = tables(spark, [(a, b, "x") for a, b in talks], [(t, "v") for t in times])
+    said, shown = (d.unionByName(d.withColumn("job_id", F.lit("i"))).unionByName(d.withColumn("job_id", F.lit("k"))).repartition(5) for d in (said, shown))
+    found = align.swept(said, shown).collect()
+    assert len(found) == 1200 and all((r.n_start, r.n_end, r.shown_at) == ((1, 1, 0.0) if r.seg_ord < 350 else (2, 2, 350.0)) for r in found)

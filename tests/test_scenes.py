@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +23,32 @@ def test_near_frames_go(spark, hashes, bits, kept):
     assert sorted(r.kf_ord for r in scenes.dedup_frames(table, bits).collect()) == kept
 
 
+def test_times_are_rounded_from_their_exact_value(spark):
+    rng = random.Random(1)
+    values = [0.5625, 0.0625, 0.1875, -0.0625, -0.1875, 2.675, 1.0005, 0.0005, 0.0015, 1e15 + 0.5, 2.0**43 + 0.25, 0.0, 7.0] + [rng.randint(-9999, 9999) / 16 for _ in range(300)] + [rng.uniform(-1e5, 1e5) for _ in range(300)] + [(2 * rng.randint(0, 10**7) + 1) / 2000 for _ in range(600)]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", scenes.thousandths(F.col("x")).alias("y")).collect()
+    assert all(r.y == round(r.x, 3) for r in got)
+
+
+def test_many_frames_equal_the_greedy_rule(spark):
+    rng, frames = random.Random(2), []
+    middles = [rng.getrandbits(1024) for _ in range(12)]
+    for n in range(700):
+        value = rng.choice(middles)
+        for bit in rng.sample(range(1024), rng.choice([0, 0, 3, 10, 14, 30])):
+            value ^= 1 << bit
+        frames.append((rng.choice("ab"), n, float(rng.randint(0, 300)), "", f"{value:0256x}"))
+    got = {(r.job_id, r.kf_ord) for r in scenes.dedup_frames(spark.createDataFrame(frames, schemas.table("keyframes")).repartition(6)).collect()}
+    want: set = set()
+    for job in "ab":
+        kept: list[int] = []
+        for j, n, _, _, h in sorted((f for f in frames if f[0] == job), key=lambda f: (f[2], f[1])):
+            if all((int(h, 16) ^ k).bit_count() > 24 for k in kept):
+                kept.append(int(h, 16))
+                want.add((j, n))
+    assert got == want and len(want) > 20
+
+
 def test_perceptual_hash_sees_structure():
     rng = np.random.default_rng(0)
     picture = rng.integers(0, 255, (128, 128)).astype(float)
