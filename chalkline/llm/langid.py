@@ -9,12 +9,12 @@ state, so that long and short texts run in one batch and any length takes bounde
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +30,8 @@ TRAIN_CHARS = 384
 PAD = 256
 BATCH = 4096
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: A character of category L; ``\w`` takes fractions and circled numbers for letters, too.
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass

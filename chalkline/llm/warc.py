@@ -8,11 +8,15 @@ run gives the same records.
 
 Records are rows (key, headers, block) between the steps; ``read_warc`` and ``write_warc`` stream
 them from and to WARC files, one record in memory at a time. No step shuffles.
+
+Pages are read in one pass from tag to tag, so time grows with a page's length, whatever stands in it. A very long page is one record
+in memory, and so is what its content encoding unpacks to. A charset that isn't known, or that no page is written in, is read as UTF-8.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import gzip
 import hashlib
 import html
@@ -38,11 +42,13 @@ TEXT_TYPES = ("text/html", "application/xhtml+xml", "text/plain")
 BREAKS = "address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table td th title tr ul"
 #: Elements whose content isn't text.
 SILENT = "script style noscript template svg iframe head"
-_SILENT = re.compile(rf"<({'|'.join(SILENT.split())})\b[^>]*>.*?</\1\s*>|<!--.*?-->|<!\[CDATA\[.*?\]\]>", re.I | re.S)
-_BREAK = re.compile(rf"</?(?:{'|'.join(BREAKS.split())})\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[A-Za-z!?][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in [*SILENT.split(), "title"]}
+_BREAKS = frozenset(BREAKS.split())
+_MARK, _NAME = re.compile(r"<(?=/?[A-Za-z!?])"), re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_OPEN_TITLE, _OPEN_LINK = re.compile(r"<title\b", re.I), re.compile(r"<a\b", re.I)
+_HREF, _VALUE = re.compile(r"\bhref\s*=\s*", re.I), re.compile(r"""\"([^"]*)"|'([^']*)'|([^\s>]+)""")
+#: Codecs of Python that no page is written in; some of them fail on, or take a square of time for, what they can't read.
+_NO_CHARSETS = frozenset("idna punycode undefined unicode_escape raw_unicode_escape mbcs oem".split())
 _META_CHARSET = re.compile(rb"""<meta\b[^>]*?charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
 _BLANK = re.compile(r"[ \t\r\f\v\xa0]+")
 
@@ -145,18 +151,74 @@ def decoded(http: Headers, body: bytes) -> tuple[str, str]:
     meta = None if found else _META_CHARSET.search(body[:4096])
     charset = found[1] if found else meta[1].decode() if meta else "utf-8"
     try:
-        return body.decode(charset, "replace"), charset.lower()
-    except LookupError:
-        return body.decode("utf-8", "replace"), "utf-8"
+        if codecs.lookup(charset).name.replace("-", "_") not in _NO_CHARSETS:
+            return body.decode(charset, "replace"), charset.lower()
+    except (LookupError, UnicodeError):
+        pass
+    return body.decode("utf-8", "replace"), "utf-8"
+
+
+def _pieces(page: str) -> Iterator[str]:
+    """Text between tags, in one pass: a line break for tags that end a line, a space for what isn't text.
+
+    Silent elements, comments and marked sections without an end go on to the end of the page; a ``<`` that no ``>`` follows is text.
+    """
+    at = 0
+    while mark := _MARK.search(page, at):
+        opened = mark.start()
+        yield page[at:opened]
+        for start, end in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+            if page.startswith(start, opened):
+                closed = page.find(end, opened + len(start))
+                at = len(page) if closed < 0 else closed + len(end)
+                yield " "
+                break
+        else:
+            named = _NAME.match(page, opened)
+            closed = page.find(">", opened)
+            if closed < 0:
+                yield page[opened:]
+                return
+            at = closed + 1
+            name = named[2].lower() if named else ""
+            if name in _CLOSE and name != "title" and not named[1]:
+                end = _CLOSE[name].search(page, at)
+                at = end.end() if end else len(page)
+                yield " "
+            elif name in _BREAKS:
+                yield "\n"
+    yield page[at:]
 
 
 def plain_text(page: str) -> str:
     """Text of an HTML page, a line for each block; white space inside lines is one space, blank lines go."""
-    text = _TAG.sub("", _BREAK.sub("\n", _SILENT.sub(" ", page.replace("\n", " "))))
+    text = "".join(_pieces(page.replace("\n", " ")))
     lines = (_BLANK.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def title_of(page: str) -> str | None:
+    """The text of the first title element that has an end."""
+    opened = _OPEN_TITLE.search(page)
+    start = page.find(">", opened.end()) if opened else -1
+    end = _CLOSE["title"].search(page, start + 1) if start >= 0 else None
+    return _one_line(html.unescape("".join(p for p in _pieces(page[start + 1 : end.start()]) if p != "\n"))) if end else None
+
+
+def links_of(page: str) -> Iterator[str]:
+    """Targets of the anchors, in order. An anchor without a target ends where its tag does, so that nothing is read twice."""
+    at = 0
+    while opened := _OPEN_LINK.search(page, at):
+        closed = page.find(">", opened.end())
+        href = _HREF.search(page, opened.end(), closed if closed >= 0 else len(page))
+        value = _VALUE.match(page, href.end()) if href else None
+        if value:
+            yield _one_line(html.unescape(value[1] or value[2] or value[3] or ""))
+        at = value.end() if value else href.end() if href else closed
+        if at < 0:
+            return
+
+
 def _one_line(text: str) -> str:
     return " ".join(text.split())
 
@@ -194,10 +256,10 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
             text = page
         else:
             text = plain_text(page)
-            title = _TITLE.search(page)
-            if title:
-                fields.append(("title", _one_line(html.unescape(_TAG.sub("", title[1])))))
-            fields += [("outlink", _one_line(html.unescape(a or b or c))) for a, b, c in _LINK.findall(page)]
+            title = title_of(page)
+            if title is not None:
+                fields.append(("title", title))
+            fields += [("outlink", target) for target in links_of(page)]
         fields.append(("conversion", text_id))
     data = "".join(f"{n}: {_one_line(v)}\r\n" for n, v in fields).encode("utf-8", "replace")
     out = [linked("metadata", meta_id, text_id if text is not None else None, "application/warc-fields", data)]

@@ -235,3 +235,7 @@ def test_toxicity_equals_a_plain_chain(spark, make):
         assert abs(got[i].quality_score - 1 / (1 + np.exp(-odds[0]))) < 1e-9 and abs(got[i].toxic_score - 1 / (1 + np.exp(-odds[1]))) < 1e-9
         assert got[i].toxic_flag == (odds[1] > chain.thresholds[1]) == (i not in kept)
     assert sum(got[i].toxic_flag == ("insultus" in t) for i, t in docs) >= 390
+
+
+def test_only_characters_of_category_l_are_letters():
+    assert not any(langid._LETTER.search(t) for t in ("² ½", "①", "Ⅳ", "12 _ -", "́")) and all(langid._LETTER.search(t) for t in ("é", "ª", "日", "ʰ"))

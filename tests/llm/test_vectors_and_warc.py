@@ -1,8 +1,15 @@
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
+import html
 import io
 import math
+import re
+import time
+import uuid
+import zlib
 
 import duckdb
 import numpy as np
@@ -187,3 +194,71 @@ def test_pages_to_files_and_back(spark, tmp_path):
 def test_null_records(spark):
     table = spark.createDataFrame([(1, None, None), (2, [("WARC-Type", "response")], None)], warc.RECORDS)
     assert [r.key for r in warc.derivatives(table).collect()] == [2, 2]
+
+
+def expected_text(page):
+    """By patterns over the whole page: right for pages whose elements end."""
+    silent = re.compile(rf"<({'|'.join(warc.SILENT.split())})\b[^>]*>.*?</\1\s*>|<!--.*?-->|<!\[CDATA\[.*?\]\]>", re.I | re.S)
+    breaks = re.compile(rf"</?(?:{'|'.join(warc.BREAKS.split())})\b[^>]*>", re.I)
+    text = re.sub(r"</?[A-Za-z!?][^>]*>", "", breaks.sub("\n", silent.sub(" ", page.replace("\n", " "))))
+    rows = (re.sub(r"[ \t\r\f\v\xa0]+", " ", row).strip() for row in html.unescape(text).split("\n"))
+    return "\n".join(row for row in rows if row)
+
+
+def test_query_equals_brute_force(spark):
+    """Every column of every record of op7, from the pages alone."""
+    sha = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    want = []
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        body = (r.html or "").encode()
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body
+        h = hashlib.sha1("\n".join([str(r.page_id), r.url or "", hashlib.sha1(body).hexdigest()]).encode()).hexdigest()
+        source = f"<urn:uuid:{h[:8]}-{h[8:12]}-5{h[13:16]}-8{h[17:20]}-{h[20:32]}>"
+        meta, text = (f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{source}#{what}').urn}>" for what in ("metadata", "conversion"))
+        plain = expected_text(r.html or "").encode()
+        payload, hexed = "sha1:" + hashlib.sha1(body).hexdigest(), "sha1:" + hashlib.sha1(block).hexdigest()
+        names = [("WARC-Type", "response"), ("WARC-Record-ID", source), ("WARC-Date", "2024-01-01T00:00:00Z"), *([("WARC-Target-URI", r.url)] if r.url is not None else []), ("WARC-Payload-Digest", payload),
+                 ("WARC-Block-Digest", hexed), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
+        title = re.search(r"<title\b[^>]*>(.*?)</title\s*>", r.html or "", re.I | re.S)
+        links = re.findall(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", r.html or "", re.I)
+        one = lambda t: " ".join(html.unescape(t).split())
+        fields = [*((f"source-{n}", v) for n, v in names), ("http-status", "HTTP/1.1 200 OK"), ("http-Content-Type", "text/html; charset=utf-8"), ("http-Content-Length", str(len(body))), ("payload-digest", payload),
+                  ("block-digest", hexed), ("payload-digest-holds", "true"), ("block-digest-holds", "true"), ("charset", "utf-8"), *([("title", one(re.sub(r"</?[A-Za-z!?][^>]*>", "", title[1])))] if title else []),
+                  *(("outlink", one(a or b or c)) for a, b, c in links), ("conversion", text)]
+        info = "".join(f"{n}: {' '.join(v.split())}\r\n" for n, v in fields).encode()
+        for kind, own, other, data in (("metadata", meta, text, info), ("conversion", text, meta, plain)):
+            want.append((r.page_id, kind, own, source, other, r.url, len(data), sha(data), payload, zlib.crc32(data)))
+    got = queries.op7_warc_derivatives(spark, SF)
+    assert got.columns == ["page_id", "warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "content_length", "block_digest", "payload_digest", "block_crc32"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("unit", ["<script>", "<!--", "<a ", "<title>", "<![CDATA[", "<p", "<", "<title", "<svg "])
+def test_pages_without_ends_take_linear_time(unit):
+    for page in (unit * (1_000_000 // len(unit)), unit * (1_000_000 // len(unit)) + ">"):
+        began = time.process_time()
+        warc.plain_text(page)
+        assert warc.title_of(page) is None
+        assert len(list(warc.links_of(page))) == 0
+        assert time.process_time() - began < 3
+
+
+def test_elements_without_ends():
+    assert warc.plain_text("a<script>b <p>c") == "a" and warc.plain_text("a<!-- b") == "a" and warc.plain_text("a<b") == "a<b"
+    assert warc.plain_text("1 < 2 <i>x</i> <header>y</header></script>z") == "1 < 2 x\ny\nz"
+    assert list(warc.links_of('<a <a href=1 <a href="2>3"><a name=x><a href=\'4')) == ["1", "2>3", "'4"]
+
+
+@pytest.mark.parametrize("name", ["idna", "punycode", "undefined", "hex", "rot13", "unicode_escape", "no-such", "ü", "utf-16", "cp037", "x" * 400])
+def test_no_charset_ends_the_job(name):
+    body = f'<meta charset="{name}">é'.encode() + bytes(range(256))
+    for http in ([("Content-Type", f"text/html; charset={name}")], []):
+        text, charset = warc.decoded(http, body)
+        assert text and charset in (name.lower(), "utf-8")
+
+
+def test_a_very_long_page():
+    page = "<p>word &amp; more</p>\n" * 200_000
+    headers, block = response(page.encode())
+    (_, _), (_, plain) = warc.derive(headers, block)
+    assert plain.decode() == "\n".join(["word & more"] * 200_000)
