@@ -46,26 +46,44 @@ def statistics(notes: DataFrame, videos: DataFrame, keyframes: DataFrame, jobs:
                        cost.alias("est_cost_usd"), F.when(F.col("duration_s") > 0, cost / (F.col("duration_s") / 3600)).alias("est_cost_per_video_hour"))
 
 
+def _searched(segments: DataFrame, longest: int) -> DataFrame:
+    """(job_id, text): pieces of a job's speech in which every term of at most ``longest`` characters lies whole.
+
+    The segments' texts, one space apart, are one text. Those that begin within the same ``longest`` characters are one piece, which also takes
+    the beginnings of the two after it: these hold the ``longest`` characters behind it, however short the segments are.
+    """
+    order = Window.partitionBy("job_id").orderBy("start", "seg_ord")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    placed = segments.select("job_id", "start", "seg_ord", text.alias("text"), F.coalesce(F.sum(F.length(text) + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("at"))
+    pieces = placed.groupBy("job_id", F.floor(F.col("at") / F.lit(longest)).alias("piece")).agg(F.array_sort(F.collect_list(F.struct("at", "start", "seg_ord", "text"))).alias("said"))
+    pieces = pieces.select("job_id", "piece", F.array_join(F.transform("said", lambda s: s["text"]), " ").alias("text"))
+    after = Window.partitionBy("job_id").orderBy("piece").rowsBetween(1, 2)
+    cut = F.substring(F.array_join(F.collect_list(F.substring("text", 1, longest)).over(after), " "), 1, longest)
+    # what is cut off goes on as a word: a term that would end there begins in a later piece and is found from it
+    return pieces.select("job_id", F.concat("text", F.lit(" "), cut, F.when(F.length(cut) >= longest, "_").otherwise("")).alias("text"))
+
+
 def vocabulary(segments: DataFrame, terms: list[str]) -> DataFrame | None:
     """(job_id, total, found, missing): terms said as whole words in a job, the missing ones in their order; None without terms.
 
-    Terms are looked for in the text of all segments, one space apart, so a term may go over their ends:
-    each segment is searched together with as many characters of those after it as the longest term has.
+    Terms are looked for in the text of all segments, one space apart, so a term may go over their ends. A term's words are whole words of a
+    text that holds it, so all terms are one dictionary by their longest word: a piece of speech meets the terms whose word it says, and only
+    these are searched for. Terms without a word are searched for everywhere.
     """
     if not terms:
         return None
-    longest = max(map(len, terms))
-    order = Window.partitionBy("job_id").orderBy("start", "seg_ord")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    after = F.array_join(F.collect_list(F.substring(text, 1, longest)).over(order.rowsBetween(1, longest)), " ")
-    cut = F.substring(after, 1, longest)
-    # what is cut off goes on as a word: a term that would end there starts in a later segment and is found from it
-    searched = F.concat(text, F.lit(" "), cut, F.when(F.length(cut) >= longest, "_").otherwise(""))
-    said = segments.select("job_id", searched.alias("text"))
-    found = said.groupBy("job_id").agg(*[F.max(T.has_term(F.col("text"), F.lit(t))).alias(f"t{i}") for i, t in enumerate(terms)])
-    checks = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"t{i}").alias("ok")) for i, t in enumerate(terms)])
-    missing = F.transform(F.filter(checks, lambda c: ~c["ok"]), lambda c: c["term"])
-    return found.select("job_id", F.lit(len(terms)).alias("total"), (F.lit(len(terms)) - F.size(missing)).alias("found"), missing.alias("missing"))
+    spark = segments.sparkSession
+    words_of = lambda c: F.regexp_extract_all(F.lower(c), F.lit(T.WORD), F.lit(0))
+    listed = spark.createDataFrame(list(enumerate(terms)), "n int, term string")  # as many rows as there are terms
+    listed = listed.withColumn("word", F.coalesce(F.array_max(F.transform(words_of("term"), lambda w: F.struct(F.length(w), w.alias("w"))))["w"], F.lit("")))
+    said = _searched(segments, max(map(len, terms)))
+    spoken = said.select("job_id", "text", F.explode(F.array_append(F.array_distinct(words_of("text")), F.lit(""))).alias("word"))
+    met = spoken.join(F.broadcast(listed), "word").where(T.has_term(F.col("text"), F.col("term"))).select("job_id", "n").distinct()
+    found = segments.select("job_id").distinct().join(met.groupBy("job_id").agg(F.collect_set("n").alias("ns")), "job_id", "left")
+    every = spark.createDataFrame([(terms,)], "terms array<string>")
+    rows = found.crossJoin(F.broadcast(every)).withColumn("ns", F.coalesce("ns", F.array().cast("array<int>")))  # one row
+    missing = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(len(terms) - 1)), F.col("ns")), lambda n: F.get(F.col("terms"), n))
+    return rows.select("job_id", F.lit(len(terms)).alias("total"), F.size("ns").alias("found"), missing.alias("missing"))
 
 
 def source_text(segments: Column, visuals: Column) -> Column:

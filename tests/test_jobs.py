@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import random
+import re
 import sys
 
 import pytest
@@ -114,6 +116,19 @@ def test_vocabulary(spark):
     assert evaluate.vocabulary(cut, ["bc", "abcd", "bcdefg x y"]).first().missing == ["bc", "abcd"]
 
 
+def test_many_terms_over_many_short_segments(spark):
+    rng = random.Random(9)
+    words = ["a", "bb", "c++", "std::move", "x_y", "é", "(d)", "", "e.", "++"]
+    rows = [(f"j{j}", n, float(n), 0.0, " ".join(rng.choices(words, k=rng.choice([0, 1, 1, 2, 30]))), []) for j in range(4) for n in range(60)]
+    terms = [" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(300)] + ["++", "::", "a  a", "no such words at all " * 3, "C++", "STD::MOVE a"] + [f"zz{i}" for i in range(10_000)]
+    terms = [t for t in terms if t]
+    got = {r.job_id: r for r in evaluate.vocabulary(spark.createDataFrame(rows, schemas.table("segments")), terms).collect()}
+    for j in range(4):
+        text = " ".join(r[4] for r in rows if r[0] == f"j{j}").lower()
+        held = [re.search(rf"(?<!\w){re.escape(t.lower())}(?!\w)", text) is not None for t in terms]
+        assert got[f"j{j}"].missing == [t for t, h in zip(terms, held) if not h] and got[f"j{j}"].found == sum(held)
+
+
 def test_grounding(spark):
     notes = spark.createDataFrame([note_row(0, "A", time=0.0), note_row(1, "B", summary="unsaid", time=30.0), note_row(2, "D", time=5.0)], schemas.table("notes"))
     timeline = chunk(spark, texts=("s",), start=0.0).unionByName(chunk(spark, start=30.0))
