@@ -15,6 +15,7 @@ from chalkline.operators.frames import DEFAULT_LIMIT
 from chalkline.memory import remembering
 from chalkline.plans import jobs
 from chalkline.providers import Offline, OpenAI
+from chalkline.scratch import seen_by_all
 from chalkline.sources import store
 
 
@@ -72,7 +73,7 @@ def log_to_stderr(verbose: bool = False) -> None:
 def run(args: argparse.Namespace, spark: SparkSession) -> int:
     settings = config.load()
     provider = Offline() if args.offline else None
-    memory = lambda p: remembering(p, settings.cache_dir)
+    memory = lambda p: remembering(p, seen_by_all(spark, settings.cache_dir))
     if args.verb in ("process", "run-stage", "eval"):
         chosen = profile.load(args.profile)
     if args.verb == "process":

@@ -25,6 +25,7 @@ from chalkline.memory import remembering
 from chalkline.operators import align, distill, evaluate, frames, knowledge, render, scenes, search
 from chalkline.profile import Profile
 from chalkline.providers import Gemini, OpenAI, Provider, Routed, mime_type
+from chalkline.scratch import seen_by_all
 from chalkline.shipping import ship
 from chalkline.sources import artifacts, media
 from chalkline.sources.store import Store
@@ -169,7 +170,7 @@ def render_jobs(spark: SparkSession, job_dirs: list[str]) -> None:
 
 def run_stage(spark: SparkSession, name: str, job_dir: str, config: Config, profile: Profile, *, provider: Provider | None = None, max_cost: float = frames.DEFAULT_LIMIT, video: str | None = None) -> None:
     """One stage of one job, from what its folder holds; replies of models are remembered in ``config.cache_dir``."""
-    provider = remembering(provider, config.cache_dir) if provider is not None else None
+    provider = remembering(provider, seen_by_all(spark, config.cache_dir)) if provider is not None else None
     log.info("%s: stage %s", job_dir, name)
     stages: dict[str, Callable[[], None]] = {
         "ingest": lambda: ingest(spark, video or artifacts.load(spark, [job_dir], "video").first().source_path, job_dir),
@@ -199,7 +200,7 @@ def process(spark: SparkSession, video: str, job_dir: str, config: Config, profi
 
 def evaluate_job(spark: SparkSession, job_dir: str, config: Config, profile: Profile, *, provider: Provider | None = None, grounding_n: int = 5, run_commands: bool = False) -> str:
     """The report of one job's checks, also written as eval_report.md; what a job lacks is left out or said to be missing."""
-    provider = remembering(provider, config.cache_dir) if provider is not None else None
+    provider = remembering(provider, seen_by_all(spark, config.cache_dir)) if provider is not None else None
     job = job_dir.rstrip("/").rsplit("/", 1)[-1]
     one = lambda df: (lambda r: r.asDict(True) if r else None)(df.first())
     has = lambda kind: artifacts.try_load(spark, [job_dir], kind)

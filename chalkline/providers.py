@@ -39,10 +39,27 @@ class Speech:
     segments: tuple[Segment, ...] = ()
 
 
+@dataclass(frozen=True)
+class Message:
+    role: str
+    content: str
+
+
+#: A text, or the messages of a conversation.
+Prompt = str | list[Message]
+
+
+def text_of(prompt: Prompt) -> str:
+    """All that a prompt says."""
+    return prompt if isinstance(prompt, str) else "\n\n".join(m.content for m in prompt)
+
+
 class Provider(Protocol):
-    def complete(self, prompt: str, *, model: str, temperature: float = 0.2) -> str: ...
+    """``max_tokens`` bounds a reply; None leaves that to the model."""
+
+    def complete(self, prompt: Prompt, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str: ...
 
-    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2) -> str: ...
+    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str: ...
 
     def embed(self, texts: list[str], *, model: str) -> list[list[float]]: ...
 
@@ -55,7 +72,8 @@ class Offline:
     def __init__(self, dimension: int = 64) -> None:
         self.dimension = dimension
 
-    def complete(self, prompt: str, *, model: str, temperature: float = 0.2) -> str:
+    def complete(self, prompt: Prompt, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str:
+        prompt = text_of(prompt)
         if "SUMMARY:" in prompt:
             source, _, summary = prompt.partition("SUMMARY:")
             known = set(re.findall(r"\w+", source.lower()))
@@ -64,7 +82,7 @@ class Offline:
         words = said.split()
         return json.dumps({"skip": not words or said == "(none)", "concept": " ".join(words[:3]), "summary": " ".join(words[:40]), "pitfalls": [], "depends_on": [], "partial": False})
 
-    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2) -> str:
+    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str:
         return json.dumps({"kind": "other", "text": "", "description": f"{len(image)} bytes of {mime}"})
 
     def embed(self, texts: list[str], *, model: str) -> list[list[float]]:
@@ -86,7 +104,7 @@ class Routed:
     def __init__(self, default: Provider, vision: Provider | None = None) -> None:
         self.default, self.seeing = default, vision or default
 
-    def complete(self, prompt: str, **options) -> str:
+    def complete(self, prompt: Prompt, **options) -> str:
         return self.default.complete(prompt, **options)
 
     def vision(self, prompt: str, image: bytes, mime: str, **options) -> str:
@@ -135,25 +153,28 @@ class OpenAI(_Hosted):
             raise DependencyMissing("install the package openai") from error
         return openai.OpenAI(api_key=self.api_key, max_retries=6, timeout=120.0)
 
-    def _chat(self, content, model: str, temperature: float) -> str:
+    def _chat(self, messages: list[dict], model: str, temperature: float, max_tokens: int | None) -> str:
+        bound = {} if max_tokens is None else {"max_tokens": max_tokens}
         try:
-            reply = self.client().chat.completions.create(model=model, temperature=temperature, messages=[{"role": "user", "content": content}])
+            reply = self.client().chat.completions.create(model=model, temperature=temperature, messages=messages, **bound)
         except Exception as error:
             raise ProviderError(str(error)) from error
         return reply.choices[0].message.content or ""
 
-    def complete(self, prompt: str, *, model: str, temperature: float = 0.2) -> str:
-        return self._chat(prompt, model, temperature)
+    def complete(self, prompt: Prompt, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str:
+        told = [Message("user", prompt)] if isinstance(prompt, str) else prompt
+        return self._chat([{"role": m.role, "content": m.content} for m in told], model, temperature, max_tokens)
 
-    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2) -> str:
-        return self._chat([{"type": "text", "text": prompt}, {"type": "image_url", "image_url": {"url": data_url(image, mime)}}], model, temperature)
+    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str:
+        parts = [{"type": "text", "text": prompt}, {"type": "image_url", "image_url": {"url": data_url(image, mime)}}]
+        return self._chat([{"role": "user", "content": parts}], model, temperature, max_tokens)
 
     def embed(self, texts: list[str], *, model: str) -> list[list[float]]:
         return [row.embedding for row in self.client().embeddings.create(model=model, input=texts).data]
 
     def transcribe(self, audio: bytes, name: str, *, model: str, prompt: str | None = None, language: str | None = None) -> Speech:
         options = {k: v for k, v in (("prompt", prompt), ("language", language)) if v}
-        reply = self.client().audio.transcriptions.create(model=model, file=(name, audio), response_format="verbose_json", **options)
+        reply = self.client().audio.transcriptions.create(model=model, file=(name, audio), response_format="verbose_json", timestamp_granularities=["segment"], **options)
         return Speech(reply.language or "unknown", tuple(Segment(s.start, s.end, s.text) for s in reply.segments or ()))
 
 
@@ -167,12 +188,12 @@ class Gemini(_Hosted):
             raise DependencyMissing("install the package google-genai") from error
         return genai.Client(api_key=self.api_key, http_options={"timeout": 60_000})
 
-    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2) -> str:
+    def vision(self, prompt: str, image: bytes, mime: str, *, model: str, temperature: float = 0.2, max_tokens: int | None = None) -> str:
         from google.genai import types
 
         try:
             reply = self.client().models.generate_content(model=model, contents=[types.Part.from_bytes(data=image, mime_type=mime), prompt],
-                                                          config=types.GenerateContentConfig(temperature=temperature, thinking_config=types.ThinkingConfig(thinking_budget=0)))
+                                                          config=types.GenerateContentConfig(temperature=temperature, max_output_tokens=max_tokens, thinking_config=types.ThinkingConfig(thinking_budget=0)))
         except Exception as error:
             raise ProviderError(str(error)) from error
         return reply.text or ""

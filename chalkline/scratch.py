@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chalkline.errors import ChalklineError
+
 
 def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
@@ -34,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{whole.rstrip('/')}/chalkline-{spark.sparkContext.applicationId}"
 
 
+def seen_by_all(spark: SparkSession, folder: str) -> str:
+    """``folder``, unless it is a bare local path on a cluster: there each machine would have its own. A ``file://`` path says that it is shared."""
+    if "://" not in folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ChalklineError(f"{folder!r} is a local path; name a folder that all executors share")
+    return folder
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

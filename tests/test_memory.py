@@ -1,11 +1,16 @@
 from __future__ import annotations
 
 import logging
+from types import SimpleNamespace
+
+import pytest
 
 from chalkline import cli, memory
+from chalkline.errors import ChalklineError
 from chalkline.functions import text as T
-from chalkline.providers import Offline, Segment, Speech, Word
+from chalkline.providers import Message, Offline, OpenAI, Segment, Speech, Word
 from chalkline.resources import wordlists
+from chalkline.scratch import seen_by_all
 
 
 class Counting(Offline):
@@ -53,15 +58,87 @@ def test_what_changes_a_reply_changes_its_key(tmp_path):
     assert len(inner.asked) == 7
 
 
-def test_a_broken_file_counts_as_missing(tmp_path):
+def test_a_broken_segment_counts_as_missing(tmp_path):
     inner = Counting()
     kept = memory.remembering(inner, f"file://{tmp_path}")
     kept.complete("p", model="m")
-    (found,) = [p for p in tmp_path.rglob("*.json")]
-    for text in ("", "{", "[]", "{}"):
-        found.write_text(text)
-        kept.complete("p", model="m")
-    assert len(inner.asked) == 5 and [p for p in tmp_path.rglob("*") if p.is_file()] == [found]
+    (found,) = [p for p in tmp_path.rglob("*") if p.is_file()]
+    whole = found.read_bytes()
+    for data in (b"", b"PAR1", whole[: len(whole) // 2], b"x" * 500):
+        found.write_bytes(data)
+        again = memory.remembering(inner, f"file://{tmp_path}")
+        assert again.complete("p", model="m") == again.complete("p", model="m")
+        for other in tmp_path.iterdir():
+            if other != found:
+                other.unlink()
+    assert len(inner.asked) == 5
+
+
+def test_many_known_texts_are_answered_from_few_files(tmp_path):
+    inner = Counting()
+    kept = memory.remembering(inner, str(tmp_path))
+    texts = [f"text {n}" for n in range(100_000)]
+    for start in range(0, 100_000, 500):
+        kept.embed(texts[start : start + 500], model="m")
+    asked = len(inner.asked)
+    fresh = memory.remembering(inner, str(tmp_path))
+    assert fresh.embed(texts[::-1], model="m") == [[float(len(t))] for t in texts[::-1]] and len(inner.asked) == asked == 200
+    assert fresh.embed(["new"], model="m") == [[3.0]] and len(inner.asked) == 201
+    assert len(list(tmp_path.iterdir())) < 100
+
+
+def test_single_replies_are_kept_at_once_and_made_one(tmp_path):
+    own, other = memory.Replies(str(tmp_path)), memory.Replies(str(tmp_path))
+    keys = [memory.request_hash(n=n) for n in range(300)]
+    for n, key in enumerate(keys):
+        (own if n % 2 else other).put(key, {"n": n})
+        assert memory.Replies(str(tmp_path)).get(key) == {"n": n}
+    assert other.get_many(keys) == {k: {"n": n} for n, k in enumerate(keys)}
+    assert len(own.segments()) <= memory.MOST + 1
+
+
+def test_a_segment_that_goes_meanwhile_is_looked_for_again(tmp_path, monkeypatch):
+    own, keys = memory.Replies(str(tmp_path)), [memory.request_hash(n=n) for n in range(4)]
+    for key in keys:
+        own.put(key, key)
+    stale, segments = own.segments(), own.segments
+    monkeypatch.setattr(memory, "MOST", 1)
+    memory.Replies(str(tmp_path))._compact()
+    listed = [stale]
+    monkeypatch.setattr(own, "segments", lambda: listed.pop() if listed else segments())
+    assert own.get_many(keys) == {k: k for k in keys}
+
+
+def test_messages_and_bounds_of_replies(tmp_path):
+    inner = Counting()
+    kept = memory.remembering(inner, str(tmp_path))
+    talk = [Message("system", "be brief"), Message("user", "p")]
+    assert kept.complete(talk, model="m") == kept.complete(list(talk), model="m") == "reply 1"
+    assert kept.complete(talk, model="m", max_tokens=5) == "reply 2" and kept.complete([talk[1]], model="m") == "reply 3" and kept.complete("p", model="m") == "reply 4"
+    assert inner.asked[1][2] == {"model": "m", "max_tokens": 5}
+    said = Offline().complete([Message("system", "x"), Message("user", "TRANSCRIPT:\none two three four\n\nON SCREEN:\n")], model="m", max_tokens=9)
+    assert '"concept": "one two three"' in said
+
+
+def test_a_hosted_request_holds_what_was_asked(monkeypatch):
+    sent, provider = [], OpenAI("key")
+    reply = SimpleNamespace(choices=[SimpleNamespace(message=SimpleNamespace(content="ok"))])
+    speech = SimpleNamespace(language="en", segments=[SimpleNamespace(start=0, end=1, text="hi")])
+    made = lambda out: SimpleNamespace(create=lambda **options: (sent.append(options), out)[1])
+    provider._client = SimpleNamespace(chat=SimpleNamespace(completions=made(reply)), audio=SimpleNamespace(transcriptions=made(speech)))
+    assert provider.complete([Message("system", "s"), Message("user", "u")], model="m", max_tokens=7) == "ok"
+    assert provider.complete("u", model="m") == "ok" and provider.vision("look", b"1", "image/png", model="m", max_tokens=3) == "ok"
+    assert sent[0] == {"model": "m", "temperature": 0.2, "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "u"}], "max_tokens": 7}
+    assert "max_tokens" not in sent[1] and sent[2]["max_tokens"] == 3
+    assert provider.transcribe(b"1", "a.wav", model="m").segments[0].text == "hi" and sent[3]["timestamp_granularities"] == ["segment"]
+
+
+def test_a_local_folder_is_not_shared_on_a_cluster(spark):
+    assert seen_by_all(spark, ".cache") == ".cache"
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077"))
+    assert seen_by_all(cluster, "file:///mnt/all") == "file:///mnt/all"
+    with pytest.raises(ChalklineError, match="share"):
+        seen_by_all(cluster, ".cache")
 
 
 def test_speech_round_trip():
