@@ -171,11 +171,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Seen:
-    """Ids of pieces met before, by a 64-bit hash of at most ``LONG`` bytes; a table of fixed size.
+    """Ids of pieces met before, of at most ``LONG`` bytes; a table of fixed size.
 
-    A piece has one slot, and a later piece may take it, which only costs the merges of the former
-    again. The hash adds a random number for each byte at each place, so two pieces agree with a
-    chance of 2**-64, whatever they are.
+    A piece has one slot by a 64-bit hash, and a later piece may take it, which only costs the merges of the former
+    again. The bytes of a piece are held, too, and a piece that is met is compared with them.
     """
 
     def __init__(self) -> None:
@@ -189,6 +188,10 @@ class Seen:
         self.size = np.zeros(1 << SLOTS, np.uint8)
         self.ids = np.zeros(POOL, np.uint16)
         self.used = 0
+        self.text_at = np.zeros(1 << SLOTS, np.int64)
+        self.length = np.zeros(1 << SLOTS, np.uint8)
+        self.text = np.zeros(POOL, np.uint8)
+        self.text_used = 0
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         place = np.arange(len(data)) - np.repeat(starts, sizes)
@@ -198,6 +201,13 @@ class Seen:
     def slots(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - SLOTS)).astype(np.int64)
 
+    def holds(self, hashes: np.ndarray, slots: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which pieces are those of their slots, by all their bytes."""
+        held = (self.key[slots] == hashes) & (self.length[slots] == sizes) & (sizes <= LONG)
+        at = np.flatnonzero(held)
+        held[at] = _same_bytes(data, starts[at], self.text, self.text_at[slots[at]], sizes[at])
+        return held
+
     def put(self, ids: np.ndarray) -> int:
         """Hold more ids; returns where they start."""
         at, self.used = self.used, self.used + len(ids)
@@ -206,10 +216,25 @@ class Seen:
         self.ids[at : self.used] = ids
         return at
 
-    def name(self, hashes: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> None:
-        """Give pieces of held ids their slots; of two with one slot, one gets it."""
+    def name(self, hashes: np.ndarray, at: np.ndarray, sizes: np.ndarray, text: np.ndarray, lengths: np.ndarray) -> None:
+        """Give pieces of held ids and of these bytes their slots; of two with one slot, one gets it."""
         slots, one = np.unique(self.slots(hashes), return_index=True)
         self.key[slots], self.at[slots], self.size[slots] = hashes[one], at[one], sizes[one]
+        start, self.text_used = self.text_used, self.text_used + len(text)
+        if self.text_used > len(self.text):
+            self.text = np.resize(self.text, max(self.text_used, len(self.text) + POOL // 4))
+        self.text[start : self.text_used] = text
+        self.text_at[slots], self.length[slots] = (start + np.cumsum(lengths) - lengths)[one], lengths[one]
+
+    def full(self) -> bool:
+        return max(self.used, self.text_used) > POOL
+
+
+def _same_bytes(one: np.ndarray, at: np.ndarray, two: np.ndarray, other: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the ``sizes`` bytes (one at least) from each place of one array are those from a place of another."""
+    if not len(sizes):
+        return np.zeros(0, bool)
+    return np.logical_and.reduceat(one[_ragged(at, sizes)] == two[_ragged(other, sizes)], np.cumsum(sizes) - sizes)
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -270,20 +295,29 @@ class Encoder:
         sizes = np.diff(starts, append=len(data))
         hashes = self.seen.hashes(data, starts, sizes)
         slots = self.seen.slots(hashes)
-        new = np.flatnonzero((self.seen.key[slots] != hashes) | (sizes > LONG))
+        new = np.flatnonzero(~self.seen.holds(hashes, slots, data, starts, sizes))
         n_ids, at = self.seen.size[slots].astype(np.int64), self.seen.at[slots]
         if len(new):
             # each long piece for itself, of the others one of each hash
             long = sizes[new] > LONG
             mark = np.where(long, new.astype(np.uint64) << np.uint64(1), hashes[new])  # hashes are odd
             _, one, back = np.unique(mark, return_index=True, return_inverse=True)
+            like = new[one[back]]
+            other = sizes[like] != sizes[new]
+            other[~other] = ~_same_bytes(data, starts[new[~other]], data, starts[like[~other]], sizes[new[~other]])
+            if other.any():  # two texts of one hash: each for itself, without a slot
+                long |= other
+                mark = np.where(long, new.astype(np.uint64) << np.uint64(1), hashes[new])
+                _, one, back = np.unique(mark, return_index=True, return_inverse=True)
             chosen, short = new[one], ~long[one]
-            ids, found = self.merges.encode(data[_ragged(starts[chosen], sizes[chosen])], np.cumsum(sizes[chosen]) - sizes[chosen])
+            text = data[_ragged(starts[chosen], sizes[chosen])]
+            ids, found = self.merges.encode(text, np.cumsum(sizes[chosen]) - sizes[chosen])
             places = self.seen.put(ids) + np.cumsum(found) - found
             n_ids[new], at[new] = found[back], places[back]
-            self.seen.name(hashes[chosen[short]], places[short], found[short])
+            kept = chosen[short]
+            self.seen.name(hashes[kept], places[short], found[short], text if short.all() else data[_ragged(starts[kept], sizes[kept])], sizes[kept])
         flat = self.seen.ids[_ragged(at, n_ids)].astype("<u4")
-        if self.seen.used > POOL:
+        if self.seen.full():
             self.seen.clear()
         bounds = np.append(0, np.cumsum(n_ids))[np.searchsorted(where, ends)]
         return np.split(flat, bounds[:-1])

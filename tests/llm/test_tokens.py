@@ -14,6 +14,7 @@ from chalkline.llm.tokens import Encoder
 
 from .conftest import sentence
 
+SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a\x1cb", "x y", "İstanbul ΣΑΣ", "<|endoftext|>a b<|endoftext|>", "é ́x", "don't DON'T it's'", "3.14 1,000", "日本語 テスト。", "á.", "ÀB'S ÿ́", "a​b", "ﬁ ǅ ß", "'s", "_a_ a_b", "É²x½", "́b", "a-b--c ... !!x"]
 
@@ -52,6 +53,15 @@ def test_pieces_that_share_a_slot(tokenizer, monkeypatch):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_of_one_hash_are_told_apart(tokenizer, monkeypatch):
+    own, rng = Encoder(PATH), random.Random(6)
+    monkeypatch.setattr(own.seen, "hashes", lambda data, starts, sizes: np.full(len(starts), 1 << 63 | 1, np.uint64) + (sizes.astype(np.uint64) % np.uint64(2) << np.uint64(1)))
+    texts = [sentence(rng, 40) for _ in range(5)] + ["a b c ab ba " + "z" * 40]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode_all(texts)):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_full_memo_changes_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr("chalkline.llm.tokens.WORDS", 3)
     own = Encoder(PATH)
@@ -63,6 +73,40 @@ def rows_for(rng):
     return [(4, sentence(rng, 3000)), (2, None), (2, "again"), (2, "again"), (None, "no id"), (9, ""), (1, "x"), (7, sentence(rng, 700)), *[(20 + i, sentence(rng, rng.randint(0, 90))) for i in range(60)], *[(100 + i, t) for i, t in enumerate(ODD)]]
 
 
+def test_queries_equal_brute_force(spark, tokenizer):
+    """op5 and op6 as registered, over whole tables, from the library's own encoding of each text."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    five = queries.op5_token_binary(spark, SF)
+    assert five.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    start, got = 0, {r.doc_id: tuple(r)[1:4] for r in five.collect()}
+    for doc_id in sorted(docs):
+        ids = ids_of(tokenizer, docs[doc_id], 1)
+        assert got.pop(doc_id) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not got
+    pieces, sequences, total = {}, {}, 0
+    for r in queries.op6_packing(spark, SF).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    assert pieces.keys() == docs.keys()
+    for doc_id, found in pieces.items():
+        ids, at = ids_of(tokenizer, docs[doc_id], 2), 0
+        for r in sorted(found, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+        total += at
+    padded = 0
+    for found in sequences.values():
+        at = 0
+        for r in sorted(found, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 4096
+        padded += at if at & (at - 1) == 0 else 4096
+    assert padded <= 1.05 * total
+
+
 def test_files_round_trip(spark, make, tokenizer, tmp_path):
     rows = rows_for(random.Random(1))
     path = f"file://{tmp_path}/tokens"
