@@ -5,9 +5,9 @@ shingles in the document. Items fall in size classes by powers of two of their n
 shingles, and each class has the threshold converted to its sizes: a match holds at least a number of shingles, and
 may miss at most another. An item's MinHash sketch is its k least shingle hashes, with k one more than its
 class may miss: of k sketch members at least one is in any document that holds the threshold's share of
-the item, so the search loses nothing at any document length. Documents are searched class by class:
-those with fewer shingles than the class must hold are left out, of the others the shingle hashes up to the
-class's largest sketch hash meet its sketches in a join, and the documents found are verified by the exact containment of
+the item, so the search loses nothing at any document length. A document's shingle hashes are first held against the
+buckets that any sketch has a member in, inside its row; those that pass meet the sketches in a join, where a class leaves out
+documents with fewer shingles than a match of it must hold. The documents found are verified by the exact containment of
 shingle texts.
 
 A document's own signature (least hashes, or bands) would not do: of 20,000 shingles, 36 of an item are seldom among the least.
@@ -19,6 +19,8 @@ documents' shingles of that length.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from .common import absent, remove, same, session, written
 
 #: Words in a shingle, and the share of an item's shingles that a document must hold.
 SHINGLE, THRESHOLD = 5, 0.8
+#: Buckets of sketch hashes, a power of two.
+MARKS = 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -83,20 +87,16 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
     sketches = (hashed.groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hs")).join(sized, same(F.col("item_id"), F.col("i_id")))
                 .select("item_id", "class", "n_shingles", F.explode(F.slice("hs", F.lit(1), F.col("sketch").cast("int"))).alias("h")))
     sketches = written(sketches, "sketches")
-    # a row for each power of two: the largest sketch hash, and shingles that a match holds at least
-    least = F.ceil(F.min("n_shingles") * F.lit(threshold) - F.lit(1e-9))
-    classes = sketches.groupBy("class").agg(F.max("h").alias("top"), least.alias("least")).orderBy("class").collect()
+    # shingles that a match of the class holds at least; a row for each power of two
+    least = F.ceil(F.min("n_shingles") * F.lit(threshold) - F.lit(1e-9)).alias("least")
+    classes = sketches.groupBy(F.col("class").alias("of")).agg(least)
+    wanted = sketches.join(F.broadcast(classes), F.col("class") == F.col("of")).select("item_id", "h", "least")
 
     looked = texts.select("doc_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hs"))
     looked = looked.select("doc_id", F.concat(*[_hashes(F.col("hs"), k) for k in lengths]).alias("all"))
-
-    def of_class(row) -> Column:
-        near = F.transform(F.filter("all", lambda h: h <= F.lit(row.top)), lambda h: F.struct(F.lit(row["class"]).alias("class"), h.alias("h")))
-        return F.when(F.size("all") >= row.least, near).otherwise(F.array().cast("array<struct<class:int,h:bigint>>"))
-
-    # hashes are a column of their own: as an expression they would be made anew for each class
-    found = looked.select("doc_id", F.inline(F.concat(*[of_class(row) for row in classes])))
-    pairs = written(found.join(sketches.select("item_id", "class", "h"), ["class", "h"]).select("doc_id", "item_id").distinct(), "candidates")
+    met = looked.select("doc_id", F.size("all").alias("n_all"), F.explode(F.filter("all", _member(sketches))).alias("h"))
+    found = met.join(wanted, "h").where(F.col("n_all") >= F.col("least"))
+    pairs = written(found.select("doc_id", "item_id").distinct(), "candidates")
     remove(spark, sketches)
 
     # exact containment of the candidates
@@ -112,6 +112,19 @@ def contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = THRESH
             .join(named, same(F.col("doc_id"), F.col("p_doc")) & same(F.col("item_id"), F.col("p_item")), "left_semi"))
 
 
+def _member(sketches: DataFrame) -> Callable[[Column], Column]:
+    """Whether a hash may be in a sketch: a byte of ``MARKS`` for its last bits, the same at every number of items.
+
+    Its sketches' buckets are gathered as one value of that many bytes, so a document's other shingles never leave its row.
+    """
+    bucket = F.col("h").bitwiseAND(F.lit(MARKS - 1))
+    groups = sketches.select(F.shiftright(bucket, 6).alias("id"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
+    every = session(sketches).range(MARKS // 64).join(groups, "id", "left")
+    told = every.select("id", F.reverse(F.lpad(F.bin(F.coalesce("bits", F.lit(0).cast("long"))), 64, "0")).alias("part"))
+    marks = told.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "part"))), lambda x: x["part"]), "").alias("marks")).first().marks
+    return lambda h: F.substring(F.lit(marks.encode()), h.bitwiseAND(F.lit(MARKS - 1)).cast("int") + 1, 1) == F.lit(b"1")
+
+
 def _shingle_hash(lengths: list[int]) -> Column:
     """As ``_hashes`` has it, of a shingle's words."""
     parts = F.split("shingle", " ")
