@@ -6,8 +6,6 @@ run one job's programs on the driver.
 
 from __future__ import annotations
 
-import itertools
-import json
 import logging
 import shutil
 import time
@@ -27,7 +25,7 @@ from chalkline.profile import Profile
 from chalkline.providers import Gemini, OpenAI, Provider, Routed, mime_type
 from chalkline.scratch import seen_by_all
 from chalkline.shipping import ship
-from chalkline.sources import artifacts, media
+from chalkline.sources import artifacts, jobfiles, media
 from chalkline.sources.store import Store
 
 log = logging.getLogger(__name__)
@@ -49,9 +47,8 @@ def provider_of(config: Config) -> Provider:
 
 
 def _documents(table: DataFrame, kind: str, jobs: dict[str, str]) -> None:
-    """Write each job's document of one kind into its folder; one row a job comes to the driver."""
-    for row in artifacts.documents(table, kind).toLocalIterator():
-        artifacts.save(json.loads(row.json), jobs[row.job_id], kind)
+    """Write each job's document of one kind into its folder, where it is made."""
+    jobfiles.write(artifacts.documents(table, kind).withColumnRenamed("json", "text"), schemas.ARTIFACTS[kind][0], jobs)
 
 
 def _named(job_dirs: list[str]) -> dict[str, str]:
@@ -157,15 +154,12 @@ def distill_jobs(spark: SparkSession, job_dirs: list[str], config: Config, profi
 def render_jobs(spark: SparkSession, job_dirs: list[str]) -> None:
     jobs = _named(job_dirs)
     notes = artifacts.exploded(artifacts.load(spark, job_dirs, "notes"), "notes", "note_ord")
-    for row in render.digests(notes, artifacts.load(spark, job_dirs, "video")).toLocalIterator():
-        (Path(jobs[row.job_id]) / "digest.md").write_text(row.digest, encoding="utf-8")
+    jobfiles.write(render.digests(notes, artifacts.load(spark, job_dirs, "video")).select("job_id", F.col("digest").alias("text")), "digest.md", jobs)
     fields = [f for f in notes.columns if f not in ("job_id", "note_ord")]
-    lined = notes.select("job_id", "note_ord", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line")).orderBy("job_id", "note_ord")
-    for folder in jobs.values():
-        (Path(folder) / "notes.jsonl").write_text("", encoding="utf-8")
-    for job, rows in itertools.groupby(lined.toLocalIterator(), lambda r: r.job_id):  # sorted by job: one file is open, one row held
-        with (Path(jobs[job]) / "notes.jsonl").open("w", encoding="utf-8") as file:
-            file.writelines(row.line + "\n" for row in rows)
+    line = F.concat(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), F.lit("\n"))
+    lined = notes.groupBy("job_id").agg(F.array_sort(F.collect_list(F.struct("note_ord", line.alias("line")))).alias("lines"))
+    every = spark.createDataFrame([(job,) for job in jobs], "job_id string").join(lined, "job_id", "left")  # a job without notes gets an empty file
+    jobfiles.write(every.select("job_id", F.coalesce(F.array_join(F.transform("lines", lambda x: x["line"]), ""), F.lit("")).alias("text")), "notes.jsonl", jobs)
 
 
 def run_stage(spark: SparkSession, name: str, job_dir: str, config: Config, profile: Profile, *, provider: Provider | None = None, max_cost: float = frames.DEFAULT_LIMIT, video: str | None = None) -> None:

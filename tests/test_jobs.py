@@ -13,7 +13,7 @@ from chalkline.errors import ChalklineError, CostLimitExceeded, DependencyMissin
 from chalkline.operators import distill, evaluate, frames, models, render
 from chalkline.plans import jobs
 from chalkline.providers import Offline, OpenAI, Routed
-from chalkline.sources import artifacts, media, store
+from chalkline.sources import artifacts, jobfiles, media, store
 from chalkline.streaming import ingest
 
 GENERIC = profile.load("generic")
@@ -327,3 +327,39 @@ def test_command_line(spark, tmp_path, capsys):
     import os
 
     assert os.environ.pop("CHALKLINE_TEST_ONLY") == "x"
+
+
+def test_many_jobs_send_no_document_to_the_driver(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    folders = [str(tmp_path / f"job{n:04d}") for n in range(300)]
+    said = "word " * 60
+    for n, folder in enumerate(folders):
+        artifacts.save({"source_path": f"/v/{n}.mp4", "audio_path": "a.wav", "duration_s": 60.0, "width": 1, "height": 1, "fps": 1.0, "audio_sample_rate": 1, "audio_channels": 1}, folder, "video")
+        artifacts.save({"language": "en", "model_size": "m", "segments": [{"start": 0.0, "end": 5.0, "text": said, "words": []}]}, folder, "transcript")
+        artifacts.save({"extracts": [{"timestamp": 0.0, "kind": "slide", "text": f"slide {n}", "code_language": None, "description": "", "diagram": ""}]}, folder, "visuals")
+        note = {"concept": f"c{n}", "canonical_concept_id": f"gen:c{n}", "summary": said, "code_snippet": None, "code_language": None, "diagram": None, "pitfalls": [], "depends_on": [], "source_timestamp": 0.0, "partial": False}
+        artifacts.save({"notes": [note] * (n % 3)}, folder, "notes")
+    seen, collect, iterate = [], Classic.collect, Classic.toLocalIterator
+    monkeypatch.setattr(Classic, "collect", lambda self: (rows := collect(self), seen.extend(map(str, rows)))[0])
+    monkeypatch.setattr(Classic, "toLocalIterator", lambda self, *a: (rows := list(iterate(self, *a)), seen.extend(map(str, rows)), iter(rows))[2])
+    jobs.align_jobs(spark, folders)
+    jobs.render_jobs(spark, folders)
+    monkeypatch.undo()
+    assert not any("word word" in row or "slide" in row for row in seen)
+    for n in (0, 1, 2, 299):
+        folder = tmp_path / f"job{n:04d}"
+        timeline = json.loads((folder / "aligned.json").read_text())
+        assert timeline["chunks"][0]["segments"][0]["text"] == said and timeline["chunks"][0]["visuals"][0]["text"] == f"slide {n}"
+        lines = (folder / "notes.jsonl").read_text().splitlines()
+        assert len(lines) == n % 3 and all(json.loads(x)["concept"] == f"c{n}" for x in lines) and (folder / "digest.md").read_text().count(f"## c{n}") == n % 3
+        assert not [f for f in folder.iterdir() if f.name.startswith(".") and not f.name.endswith(".crc")]
+
+
+def test_a_failed_write_leaves_folders_as_they_were(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "{}"), ("b", "not json")], "job_id string, text string").repartition(2)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text("old")
+    with pytest.raises(Exception):
+        jobfiles.write(rows, "x.json", {j: str(tmp_path / j) for j in "ab"})
+    assert (tmp_path / "a" / "x.json").read_text() == "old" and not (tmp_path / "b" / "x.json").exists()
