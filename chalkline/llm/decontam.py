@@ -28,8 +28,8 @@ from .common import absent, remove, same, session, written
 
 #: Words in a shingle, and the share of an item's shingles that a document must hold.
 SHINGLE, THRESHOLD = 5, 0.8
-#: Buckets of sketch hashes, a power of two.
-MARKS = 1 << 20
+#: Buckets of sketch hashes, a power of two. They are one value in the plan, so the driver holds some copies of as many bytes.
+MARKS = 1 << 17
 
 
 def words(text: Column) -> Column:
