@@ -7,6 +7,7 @@ end. Segments meet intervals in a sweep over ranges of time, so that a long or v
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,61 +40,120 @@ def intervals(visuals: DataFrame) -> DataFrame:
 ENDS, APPEARS, BEGINS = 0, 1, 2
 
 
-def swept(segments: DataFrame, visuals: DataFrame) -> DataFrame:
-    """(job_id, seg_ord, n_start, n_end, shown_at): visuals that appear by a segment's start and before its end, and when the last of these appeared.
-
-    All times lie in one order, cut into ranges, so that a long job lies over many tasks. A task counts through its range; what a
-    job has before a range is added from the counts at the borders, one row a task.
+class Sweep:
+    """One job's visuals met so far in a range of time, and the segments that have begun in it."""
+
+    def __init__(self) -> None:
+        self.times: list[float] = []
+        self.peaks: list[int] = []  # numbers of intervals that end, each longer than all behind it
+        self.begun: dict[int, tuple[int, float]] = {}
+
+    def appears(self, t: float) -> None:
+        if self.times:
+            length = t - self.times[-1]
+            while self.peaks and self.length(self.peaks[-1]) < length:
+                self.peaks.pop()
+            self.peaks.append(len(self.times) - 1)
+        self.times.append(t)
+
+    def length(self, i: int) -> float:
+        return self.times[i + 1] - self.times[i]
+
+    def ends(self, start: float, at: int, end: float, before: bool) -> int:
+        """The interval that a segment overlaps most, the earliest of equal ones; -1 is the one before this range, if there is one."""
+        lo, hi = at - 1, len(self.times) - 1
+        if lo == hi:
+            return lo
+        found = [(self.times[lo + 1] - start, lo)] if lo >= 0 or before else []
+        first = bisect.bisect_left(self.peaks, lo + 1)
+        if first < len(self.peaks):
+            found.append((self.length(self.peaks[first]), self.peaks[first]))
+        found.append((end - max(self.times[hi], start), hi))
+        return max(found, key=lambda f: (f[0], -f[1]))[1]
+
+
+def swept(segments: DataFrame, visuals: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """What a sweep through all times finds: (job_id, seg_ord, best), and (job_id, seg_ord, n_start, n_end, shown_at) of segments over a border.
+
+    All times lie in one order, cut into ranges, so that a long job lies over many tasks. A task finds the interval of each segment that begins and ends in
+    its range; what a job has before a range is added from the counts at the borders, one row a task. Of a segment that begins in one
+    range and ends in another there are the visuals that appear by its start and before its end, and when the last of these did; None if there is no such segment.
     """
     spark = segments.sparkSession
     ship(spark)
     kind = lambda k: F.lit(k).alias("kind")
     said = segments.where(F.col("end") > F.col("start"))
     points = (visuals.select("job_id", F.coalesce("timestamp", F.lit(float("-inf"))).alias("t"), kind(APPEARS), F.col("vis_ord").cast("long").alias("o"))
-              .unionByName(said.select("job_id", F.col("start").alias("t"), kind(BEGINS), F.col("seg_ord").cast("long").alias("o")))
-              .unionByName(said.select("job_id", F.col("end").alias("t"), kind(ENDS), F.col("seg_ord").cast("long").alias("o"))))
+              .unionByName(said.select("job_id", F.explode(F.array(F.struct(F.col("start").alias("t"), kind(BEGINS)), F.struct(F.col("end").alias("t"), kind(ENDS)))).alias("p"), F.col("seg_ord").cast("long").alias("o"))
+                           .select("job_id", "p.t", "p.kind", "o")))
     order = ["job_id", "t", "kind", "o"]
     job = segments.schema["job_id"].dataType.simpleString()
     dealt = points.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
     dealt = dealt.select(*order, F.spark_partition_id().alias("part"))
+    names = ["job_id", "o", "kind", "n", "last", "best", "best_after", "part", "at_border", "over"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Visuals of a job met in this range, and the time of the last; ``at_border`` marks rows of the job that the range begins with."""
-        now, n, last, border, part, started = None, 0, None, True, 0, False
+        """A row (kind ENDS) for each segment; of one over a border a row for each side, without ``best``; and one of a null kind that tells what the next range begins with."""
+        now, state, border, part, over, out, job_kind = None, None, True, 0, 0, [], pa.string()
+
+        def table() -> pa.RecordBatch:
+            columns = list(zip(*out))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [job_kind, *kinds])], names=names)
+
+        def left_open() -> None:
+            nonlocal over
+            for o, (n, _) in state.begun.items():
+                over += 1
+                out.append((now, o, BEGINS, n, None, None, None, part, border, None))
+
         for batch in batches:
-            jobs, kinds, times = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist()
-            seen, lasts, borders = [], [], []
-            for j, k, t in zip(jobs, kinds, times):
-                if started and j != now:
-                    n, last, border = 0, None, False
-                now, started = j, True
+            job_kind = batch.column(0).type
+            for j, t, k, o, part in zip(*(c.to_pylist() for c in batch.columns)):
+                if state is None or j != now:
+                    if state is not None:
+                        left_open()
+                        border = False
+                    now, state = j, Sweep()
                 if k == APPEARS:
-                    n, last = n + 1, t
-                seen.append(n)
-                lasts.append(last)
-                borders.append(border)
-            part = batch.column(4)[0].as_py() if len(batch) else part
-            keep = pa.array([k != APPEARS for k in kinds], pa.bool_())
-            whole = pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(2), pa.array(seen, pa.int64()), pa.array(lasts, pa.float64()), batch.column(4), pa.array(borders, pa.bool_())],
-                                               names=["job_id", "o", "kind", "n", "last", "part", "at_border"])
-            yield whole.filter(keep)
-        if started:  # what the next range begins with, told by a null kind
-            yield pa.RecordBatch.from_arrays([pa.array([now], whole.column(0).type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([n], pa.int64()), pa.array([last], pa.float64()), pa.array([part], pa.int32()), pa.array([border], pa.bool_())],
-                                             names=["job_id", "o", "kind", "n", "last", "part", "at_border"])
-
-    counted = written(dealt.mapInArrow(count, f"job_id {job}, o long, kind int, n long, last double, part int, at_border boolean"), "swept")
-    carried, now = {}, (None, 0, None)  # of each range: the job before it, its visuals so far, and its last time
+                    state.appears(t)
+                elif k == BEGINS:
+                    state.begun[o] = (len(state.times), t)
+                elif o in state.begun:
+                    at, start = state.begun.pop(o)
+                    best = state.ends(start, at, t, False)
+                    after = state.ends(start, at, t, True) if border and at == 0 else best
+                    out.append((now, o, ENDS, len(state.times), None, best, after, part, border, None))
+                else:
+                    over += 1
+                    out.append((now, o, ENDS, len(state.times), state.times[-1] if state.times else None, None, None, part, border, None))
+                if len(out) >= 10_000:
+                    yield table()
+                    out.clear()
+        if state is not None:
+            left_open()
+            out.append((now, None, None, len(state.times), state.times[-1] if state.times else None, None, None, part, border, over))
+        if out:
+            yield table()
+
+    counted = written(dealt.mapInArrow(count, f"job_id {job}, o long, kind int, n long, last double, best long, best_after long, part int, at_border boolean, over long"), "swept")
+    carried, now, over = [], (None, 0, None), 0  # of each range: the job before it, its visuals so far, and its last time
     for r in sorted(counted.where("kind is null").collect(), key=lambda r: r.part):  # a row a range
-        carried[r.part] = now
+        carried.append((r.part, *now))
         same = r.at_border and now[0] == r.job_id
         now = (r.job_id, r.n + (now[1] if same else 0), r.last if r.last is not None else (now[2] if same else None))
-    before = spark.createDataFrame([(p, *c) for p, c in carried.items()], f"part int, before_job {job}, before_n long, before_last double")
+        over += r.over
+    before = spark.createDataFrame(carried, f"part int, before_job {job}, before_n long, before_last double")
     rows = counted.where("kind is not null").join(F.broadcast(before), "part")
     goes_on = F.col("at_border") & F.col("before_job").eqNullSafe(F.col("job_id"))
-    rows = rows.select("job_id", F.col("o").alias("seg_ord"), "kind", (F.col("n") + F.when(goes_on, F.col("before_n")).otherwise(0)).alias("n"),
-                       F.coalesce("last", F.when(goes_on, F.col("before_last"))).alias("last"))
+    earlier = F.when(goes_on, F.col("before_n")).otherwise(F.lit(0))
+    best = F.when(earlier > 0, F.col("best_after") + earlier).otherwise(F.col("best"))
+    found = rows.where("best is not null").select("job_id", F.col("o").alias("seg_ord"), best.cast("int").alias("best"))
+    if not over:
+        return found, None
+    rows = rows.where("best is null").select("job_id", F.col("o").alias("seg_ord"), "kind", (F.col("n") + earlier).alias("n"), F.coalesce("last", F.when(goes_on, F.col("before_last"))).alias("last"))
     at = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c)))
-    return rows.groupBy("job_id", "seg_ord").agg(at(BEGINS, "n").alias("n_start"), at(ENDS, "n").alias("n_end"), at(ENDS, "last").alias("shown_at"))
+    return found, rows.groupBy("job_id", "seg_ord").agg(at(BEGINS, "n").alias("n_start"), at(ENDS, "n").alias("n_end"), at(ENDS, "last").alias("shown_at"))
 
 
 def _longest(spans: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -119,13 +179,23 @@ def _longest(spans: DataFrame, wanted: DataFrame) -> DataFrame:
 def anchor(segments: DataFrame, visuals: DataFrame) -> DataFrame:
     """``segments`` of jobs that have visuals, with ``idx``: the interval that a segment overlaps most.
 
-    Ties go to the earliest interval, and so does a segment that overlaps none. A sweep through the times gives the intervals that a segment begins and
-    ends in; only one that begins and ends in different ones meets others: the first's end, and the longest of those between, from a table of
-    ranges. So no segment is joined to all the intervals it covers.
+    Ties go to the earliest interval, and so does a segment that overlaps none. A sweep through the times finds the interval; only a segment
+    over a border of its ranges is looked up in a table. So no segment is joined to all the intervals it covers.
     """
+    best, over = swept(segments, visuals)
+    if over is not None:
+        best = best.unionByName(_over_borders(over, segments, visuals))
+    best = best.where("best >= 0")
+    shown = visuals.select("job_id").distinct()
+    return (segments.join(shown, "job_id", "left_semi").join(best, ["job_id", "seg_ord"], "left")
+            .withColumn("idx", F.coalesce("best", F.lit(0))).drop("best"))
+
+
+def _over_borders(over: DataFrame, segments: DataFrame, visuals: DataFrame) -> DataFrame:
+    """(job_id, seg_ord, best) of segments that begin and end in different ranges of the sweep: the first interval's end and the longest of those between are joined."""
     spans = intervals(visuals).select("job_id", "idx", F.coalesce("timestamp", F.lit(float("-inf"))).alias("a"), F.col("until").alias("b"))
-    found = swept(segments, visuals).select("job_id", "seg_ord", (F.col("n_start") - 1).cast("int").alias("lo"), (F.col("n_end") - 1).cast("int").alias("hi"), "shown_at")
-    found = written(found.where("hi >= 0"), "anchored")
+    found = over.select("job_id", "seg_ord", (F.col("n_start") - 1).cast("int").alias("lo"), (F.col("n_end") - 1).cast("int").alias("hi"), "shown_at")
+    found = written(found.where("hi >= 0"), "over")
     crossing = found.where("lo < hi").join(segments.select("job_id", "seg_ord", "start", "end"), ["job_id", "seg_ord"])
     wanted = crossing.where("hi - lo >= 2").select("job_id", "seg_ord", (F.col("lo") + 1).alias("lo"), (F.col("hi") - 1).alias("hi"))
     middle = _longest(spans.select("job_id", "idx", (F.col("b") - F.col("a")).alias("length")), wanted)
@@ -136,10 +206,7 @@ def anchor(segments: DataFrame, visuals: DataFrame) -> DataFrame:
     last = F.struct((F.col("end") - F.greatest("shown_at", "start")).alias("length"), F.col("hi").alias("place"))
     better = lambda x, y: F.when(y["length"] > x["length"], y).otherwise(x)
     chosen = told.select("job_id", "seg_ord", better(better(first, F.coalesce("middle", none)), last)["place"].alias("best"))
-    best = found.where("lo = hi").select("job_id", "seg_ord", F.col("lo").alias("best")).unionByName(chosen)
-    shown = visuals.select("job_id").distinct()
-    return (segments.join(shown, "job_id", "left_semi").join(best, ["job_id", "seg_ord"], "left")
-            .withColumn("idx", F.coalesce("best", F.lit(0))).drop("best"))
+    return found.where("lo = hi").select("job_id", "seg_ord", F.col("lo").alias("best")).unionByName(chosen)
 
 
 def lookahead(anchored: DataFrame, visuals: DataFrame, languages: DataFrame | None = None) -> DataFrame:
@@ -322,7 +389,7 @@ def align(segments: DataFrame, visuals: DataFrame, languages: DataFrame | None =
     segment_count, lookahead_moves, scroll_merges, orphans. A job without visuals is one chunk of all
     its speech, cut at pauses; one without speech keeps its visuals in a last chunk.
     """
-    placed = lookahead(anchor(segments, visuals), visuals, languages)
+    placed = written(lookahead(anchor(segments, visuals), visuals, languages), "placed")  # used twice
     moves = placed.groupBy("job_id").agg(F.sum("hops").cast("int").alias("lookahead_moves"))
     parts = attach_orphans(merge_scrolls(chunks(placed, visuals)))
     counts = parts.groupBy("job_id").agg(F.sum("merges").cast("int").alias("scroll_merges"), F.sum("orphans").cast("int").alias("orphans"))

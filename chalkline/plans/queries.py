@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chalkline.functions import text as T
 from chalkline.functions import vectors as V
-from chalkline.operators import align, distill, evaluate, knowledge, models, render, scenes, search, transcripts
+from chalkline.operators import align, cells, distill, evaluate, knowledge, models, render, scenes, search, transcripts
 from chalkline.resources.wordlists import CODE_KEYWORDS, stopwords
-from chalkline.scratch import shared_dir, state_of
+from chalkline.scratch import new_path, shared_dir, state_of
+from chalkline.sources import store
 
 #: What the search queries ask for, and the vocabulary that is looked for.
 QUERY = "thnd ering the tion erth onst onst"
@@ -236,15 +237,23 @@ def frame_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenes.dedup_frames(frames, bits=24).select("job_id", F.col("kf_ord").alias("vec_id"))
 
 
-def scene_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scene is the time from one event of a user to the next, in hours as seconds on a grid of one half."""
+def _scenes(spark: SparkSession, sf_dir: str, steps: int) -> DataFrame:
+    """A scene is the time from one event of a user to the next, in hours as seconds on a grid of ``steps`` a second."""
     said, shown = _events(spark, sf_dir)
     order = Window.partitionBy("job_id").orderBy("t", "n")
     rows = said.select("job_id", F.col("start").alias("t"), F.col("seg_ord").alias("n")).unionByName(shown.select("job_id", F.col("timestamp").alias("t"), F.col("vis_ord").alias("n")))
     first = F.min("t").over(Window.partitionBy("job_id"))
-    grid = rows.select("job_id", "n", "t", (F.floor((F.col("t") - first) / 3600 * 2) / 2).alias("a"))
-    parts = grid.select("job_id", F.col("a").alias("start"), F.lead("a").over(order).alias("end")).where("end is not null")
-    return scenes.candidate_times(parts)
+    grid = rows.select("job_id", "n", "t", (F.floor((F.col("t") - first) / 3600 * steps) / steps).alias("a"))
+    return grid.select("job_id", F.col("a").alias("start"), F.lead("a").over(order).alias("end")).where("end is not null")
+
+
+def scene_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scenes.candidate_times(_scenes(spark, sf_dir, 2))
+
+
+def scene_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Middles of scenes on a grid of eighths are sixteenths, of which every fourth lies halfway between two thousandths."""
+    return scenes.candidate_times(_scenes(spark, sf_dir, 8))
 
 
 def point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +352,35 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
 
 
+def nearest_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``nearest_vectors``, from the cells that can hold them."""
+    path = new_path(spark, "cells")
+    cells.write(_read(spark, sf_dir, "embeddings"), path, id_col="vec_id", vector_col="embedding")
+    found = cells.Cells.read(spark, [path], kind="bigint").nearest(_query_vector(spark, sf_dir), 10)
+    return found.select(F.col("id").alias("vec_id"), F.round("score", 6).alias("score"))
+
+
+def best_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of the query's words, from the blocks of postings that can hold them."""
+    return search.best(_document_index(spark, sf_dir), QUERY, 20).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+def collection_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a store, then the labelled ones again with other texts: the live points."""
+    kept = store.ParquetStore(spark, new_path(spark, "kb"))
+    none, text = F.lit(None).cast("string"), F.coalesce("text", F.lit(""))
+
+    def points(docs: DataFrame, concept: str, said: Column) -> DataFrame:
+        return docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("docs").alias("collection"), F.col("source").alias("source_video"), F.lit(0.0).alias("source_timestamp"), F.lit("c").alias("canonical_concept_id"), F.lit(concept).alias("concept"),
+                           text.alias("summary"), none.alias("code_language"), F.array().cast("array<string>").alias("depends_on"), said.alias("text"), F.lit("{}").alias("note"), F.lit(None).cast("array<double>").alias("vector"))
+
+    docs = _read(spark, sf_dir, "documents")
+    kept.upsert("docs", points(docs, "first", text))
+    labelled = docs.join(_read(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    kept.upsert("docs", points(labelled, "second", F.concat(F.lit("again "), text)))
+    return kept.all_points("docs").select(F.col("id").cast("long").alias("doc_id"), "concept", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 def _in(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
@@ -447,6 +485,8 @@ SQL: dict[str, str] = {
     "SELECT r.kept, len(list_filter(r.kept, lambda x: bit_count(xor(x, e.h)) <= 24)) > 0 AS near FROM r WHERE r.job = e.job AND r.n = e.n - 1) g ON true) SELECT CAST(job AS VARCHAR) AS job_id, vec_id FROM r WHERE k",
     "scene_samples": f"WITH {_EVENTS}, g AS (SELECT job_id, t, event_id, floor((t - min(t) OVER (PARTITION BY job_id)) / 3600 * 2) / 2 AS a FROM ev), sc AS (SELECT job_id, a, lead(a) OVER (PARTITION BY job_id ORDER BY t, event_id) AS b FROM g), "
     "m AS (SELECT job_id, (a + b) / 2 AS t FROM sc WHERE b IS NOT NULL UNION SELECT job_id, a + 20 * unnest(generate_series(1, CAST(ceil((b - a) / 20) AS BIGINT) - 1)) AS t FROM sc WHERE b - a > 45) SELECT DISTINCT job_id, round(t, 3) AS timestamp FROM m",
+    "scene_ties": f"WITH {_EVENTS}, g AS (SELECT job_id, t, event_id, floor((t - min(t) OVER (PARTITION BY job_id)) / 3600 * 8) / 8 AS a FROM ev), sc AS (SELECT job_id, a, lead(a) OVER (PARTITION BY job_id ORDER BY t, event_id) AS b FROM g), "
+    "m AS (SELECT job_id, (a + b) / 2 AS t FROM sc WHERE b IS NOT NULL UNION SELECT job_id, a + 20 * unnest(generate_series(1, CAST(ceil((b - a) / 20) AS BIGINT) - 1)) AS t FROM sc WHERE b - a > 45) SELECT DISTINCT job_id, round_even(t, 3) AS timestamp FROM m",
     "point_ids": "WITH k AS (SELECT doc_id, sha1(unhex('" + knowledge.URL_NAMESPACE + "') || encode('docs:' || source || ':gen:' || lang || ':' || CAST(doc_id / CAST(4 AS DOUBLE) AS VARCHAR))) AS h FROM documents) "
     "SELECT doc_id, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', 1 + (strpos('0123456789abcdef', h[17:17]) - 1) % 4, 1) || h[18:20] || '-' || h[21:32] AS point_id FROM k",
     "upsert": "WITH l AS (SELECT CAST(doc_id AS VARCHAR) AS id, quality + 2 AS version FROM labels) SELECT id, version + 2 AS version FROM l UNION ALL SELECT id || '/b' AS id, version FROM l UNION ALL "
@@ -475,6 +515,22 @@ SQL: dict[str, str] = {
     "coalesce(source, '') AS concept, '' AS summary, CASE WHEN doc_id % 2 = 0 THEN lang END AS code_language, doc_id / CAST(8 AS DOUBLE) AS score FROM documents",
     "joined_segments": f"WITH {_CONV} SELECT job_id, CAST(turn % 3 AS INTEGER) AS part_ord, turn, round(a + turn % 3 * CAST(600 AS DOUBLE), 6) AS start, round(b + turn % 3 * CAST(600 AS DOUBLE), 6) AS \"end\", {_strip('text')} AS text FROM s",
     "nearest_vectors": f"WITH {_VECTORS} SELECT id AS vec_id, round(score, 6) AS score FROM cs WHERE score IS NOT NULL ORDER BY cs.score DESC, id LIMIT 10",
+    "nearest_in_cells": f"WITH {_VECTORS} SELECT id AS vec_id, round(score, 6) AS score FROM cs WHERE score IS NOT NULL ORDER BY cs.score DESC, id LIMIT 10",
+    "best_words": f"WITH {_BM25} SELECT id AS doc_id, round(score, 6) AS score FROM words WHERE rank <= 20",
+    "collection_versions": "SELECT doc_id, CASE WHEN l THEN 'second' ELSE 'first' END AS concept, md5(CASE WHEN l THEN 'again ' ELSE '' END || coalesce(text, '')) AS digest FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS l FROM documents)",
+    "alignment_report": f"WITH RECURSIVE {_CONV}, pl AS (SELECT p.job_id, p.turn, p.idx + coalesce(hops, 0) AS idx, coalesce(hops, 0) AS hops FROM placed p LEFT JOIN hop ON p.job_id = hop.job_id AND p.turn = hop.turn), "
+    "n AS (SELECT v.job_id, v.idx, count(pl.turn) AS n FROM v LEFT JOIN pl ON v.job_id = pl.job_id AND v.idx = pl.idx GROUP BY v.job_id, v.idx), "
+    "h AS (SELECT *, min(CASE WHEN n > 0 THEN idx END) OVER (PARTITION BY job_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS home FROM n), "
+    "ch AS (SELECT pl.job_id, pl.idx AS home, list(s.a ORDER BY s.a, s.turn) AS a, list(s.b ORDER BY s.a, s.turn) AS b FROM pl JOIN s ON pl.job_id = s.job_id AND pl.turn = s.turn GROUP BY pl.job_id, pl.idx UNION ALL "
+    "SELECT job_id, 0 AS home, list(a ORDER BY a, turn) AS a, list(b ORDER BY a, turn) AS b FROM s WHERE job_id NOT IN (SELECT job_id FROM v) GROUP BY job_id), "
+    "r AS (SELECT job_id, a, b, CAST(1 AS BIGINT) AS lo, CAST(len(a) AS BIGINT) AS hi FROM ch UNION ALL "
+    "SELECT job_id, a, b, CAST(CASE WHEN side = 0 THEN lo ELSE cut + 1 END AS BIGINT) AS lo, CAST(CASE WHEN side = 0 THEN cut ELSE hi END AS BIGINT) AS hi FROM ("
+    "SELECT job_id, a, b, lo, hi, lo - 1 + list_position(list_transform(range(lo, hi), lambda k: a[k + 1] - b[k]), list_max(list_transform(range(lo, hi), lambda k: a[k + 1] - b[k]))) AS cut, unnest([0, 1]) AS side "
+    "FROM r WHERE hi > lo AND b[hi] - a[lo] > 300)), "
+    "leaf AS (SELECT job_id, count(*) AS parts, sum(hi - lo + 1) AS segs FROM r WHERE hi <= lo OR b[hi] - a[lo] <= 300 GROUP BY job_id), "
+    "orp AS (SELECT job_id, count(*) FILTER (n = 0) AS orphans, max(CASE WHEN home IS NULL THEN 1 ELSE 0 END) AS behind FROM h GROUP BY job_id), mv AS (SELECT job_id, sum(hops) AS moves FROM pl GROUP BY job_id) "
+    "SELECT j.job_id, CAST(coalesce(parts, 0) + coalesce(behind, 0) AS INTEGER) AS chunk_count, CAST(coalesce(segs, 0) AS INTEGER) AS segment_count, CAST(coalesce(moves, 0) AS INTEGER) AS lookahead_moves, 0 AS scroll_merges, CAST(coalesce(orphans, 0) AS INTEGER) AS orphans "
+    "FROM (SELECT job_id FROM s UNION SELECT job_id FROM v) j LEFT JOIN leaf ON j.job_id = leaf.job_id LEFT JOIN orp ON j.job_id = orp.job_id LEFT JOIN mv ON j.job_id = mv.job_id",
     # the table of common lines, a row of it for each line of the document before
     "line_share": f"WITH RECURSIVE s AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS x FROM documents), "
     f"d AS (SELECT doc_id, source, list_transform(CASE WHEN x[-1] = '' THEN x[1 : len(x) - 1] ELSE x END, lambda l: regexp_replace(l, '[{_SPACES}]+$', '')) AS ls FROM s), "
@@ -489,7 +545,7 @@ SQL: dict[str, str] = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (anchor, visual_chunks, orphans, bounds_split, alignment_report, lookahead, line_share, scroll_merge, tokens, content_words, bm25, vector_ranking, rank_fusion, hybrid_search, slug_ids, concept_registry,
               vocabulary_hits, reading_statistics, grounding_join, frame_dedup, scene_samples, point_ids, upsert, code_like, timestamp_links, code_from_visuals, audio_parts, digests, reply_fences, request_keys, frame_rates, searchable, search_results,
-              joined_segments, nearest_vectors)
+              joined_segments, nearest_vectors, nearest_in_cells, best_words, collection_versions, scene_ties)
     return {f.__name__: f for f in listed}
 
 

@@ -157,13 +157,15 @@ def test_a_long_segment_over_many_short_intervals(spark):
         shared = [min(b, e) - max(a, t) for t, e in zip(times, ends)]
         assert got["j", n] == (max(range(len(times)), key=lambda i: (shared[i], -i)) if max(shared) > 0 else 0)
     assert got["k", 0] == got["k", 1] == 0
-    swept = align.swept(said, shown)
-    assert swept.count() == sum(b > a for a, b in talks)
+    found, over = align.swept(said, shown)
+    assert found.count() + (over.count() if over is not None else 0) == sum(b > a for a, b in talks)
 
 
 def test_a_sweep_carries_over_the_borders_of_ranges(spark):
     talks, times = [(i + 0.25, i + 0.75) for i in range(400)], [0.0, 350.0]
     said, shown = tables(spark, [(a, b, "x") for a, b in talks], [(t, "v") for t in times])
     said, shown = (d.unionByName(d.withColumn("job_id", F.lit("i"))).unionByName(d.withColumn("job_id", F.lit("k"))).repartition(5) for d in (said, shown))
-    found = align.swept(said, shown).collect()
-    assert len(found) == 1200 and all((r.n_start, r.n_end, r.shown_at) == ((1, 1, 0.0) if r.seg_ord < 350 else (2, 2, 350.0)) for r in found)
+    found, over = align.swept(said, shown)
+    got = {(r.job_id, r.seg_ord): r.best for r in found.collect()}
+    assert len(got) == 1200 - (over.count() if over is not None else 0) > 1100 and all(v == (k[1] >= 350) for k, v in got.items())
+    assert all(r.idx == (r.seg_ord >= 350) for r in align.anchor(said, shown).collect())
