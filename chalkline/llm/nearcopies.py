@@ -1,7 +1,11 @@
-"""Near copies by the exact Jaccard similarity of word shingles, found by MinHash bands.
+"""Near copies by SimHash, verified by the exact Jaccard similarity of word shingles; MinHash bands for what SimHash can't reach.
 
-Texts of the same set of shingles are one class from the start. A class has a number of keys, each of
-some of its ``VALUES`` MinHash values; classes that share a key are a bucket, and pairs from buckets are verified
+Texts of the same set of shingles are one class from the start. SimHash comes first: the classes' fingerprints are linked within ``RADIUS``
+bits as in ``simhash`` (pigeonhole partitions, thresholds, probes), and each link, and each class of a fingerprint with the
+first of it, is verified on whole shingle sets. Three bits stand for a similarity of about 0.98, and a radius for 0.8 (some ten bits) has no selective
+partition; so pairs between that and the threshold, and those that a forest of links leaves out, are found by bands, starting from SimHash's groups.
+
+For the bands, a class has a number of keys, each of some of its ``VALUES`` MinHash values; classes that share a key are a bucket, and pairs from buckets are verified
 on whole shingle sets. The threshold says how many values a key takes: the most with which a pair at the threshold shares
 no key with probability ``LOST`` or less. At 0.8 these are 40 keys of five, and 1.3e-7; more similar pairs are lost still less often.
 
@@ -28,9 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import remove, same, session, ship, written
 from .components import components
-from .simhash import keep_first, shingle_hashes
+from .simhash import RADIUS, keep_first, majority, shingle_hashes
 
 #: Words in a shingle, and the similarity from which two texts are near copies.
 SHINGLE, THRESHOLD = 5, 0.8
@@ -73,19 +78,39 @@ def band_keys(hashes: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
 
 
 def marked(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, th, fp, keys): hash of the text, hash of its set of shingles, and its band keys."""
+    """(doc_id, th, fp, sim, keys): hash of the text, hash of its set of shingles, its SimHash and its band keys."""
     banding(threshold)  # before any task
     ship(session(docs))
     text = F.coalesce(docs[text_col], F.lit(""))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py(), shingle) for t in batch.column(2)]
-            fp = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64)
-            keys = pa.array([band_keys(s, threshold) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp), keys], names=["doc_id", "th", "fp", "keys"])
+            fp, sim, keys = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), []
+            for n, t in enumerate(batch.column(2)):
+                hashes = shingle_hashes(t.as_py(), shingle)
+                sim[n] = majority(hashes)
+                own = np.unique(hashes)
+                fp[n] = xxhash.xxh64_intdigest(own.tobytes(), 42)
+                keys.append(band_keys(own, threshold))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp.view(np.int64)), pa.array(sim.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "th", "fp", "sim", "keys"])
+
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(work, "doc_id long, th long, fp long, sim long, keys array<long>")
+
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(work, "doc_id long, th long, fp long, keys array<long>")
+def simhash_pairs(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of different classes ``fp``, written: of fingerprints ``sim`` that ``simhash.links`` links, and of the same one.
+
+    A fingerprint is stood for by its smallest class, which its other classes are paired with, so there are fewer pairs than links and classes.
+    """
+    classes = written(rows.select("sim", "fp").distinct(), "classes")
+    first = written(classes.groupBy("sim").agg(F.min("fp").alias("first")), "first")
+    close = simhash.links(first.select(F.col("sim").alias("fp")), radius)
+    same_ = classes.join(first, "sim").select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    one, two = first.select(F.col("sim").alias("a"), F.col("first").alias("x")), first.select(F.col("sim").alias("b"), F.col("first").alias("y"))
+    near = close.join(one, "a").join(two, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = written(same_.unionByName(near).where("a <> b").distinct(), "pairs")
+    remove(session(rows), classes, first, close)
+    return pairs
 
 
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -154,11 +179,12 @@ def _crossing(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return whole.unionByName(apart).join(sets, "fp").groupBy("key", "block", "chunk").applyInArrow(compare, "a long, b long")
 
 
-def links(members: DataFrame, sets: DataFrame, threshold: float, small: int = SMALL) -> DataFrame:
-    """Links (a, b) between classes whose components are those of all similar pairs that share a bucket (key, fp)."""
+def links(members: DataFrame, sets: DataFrame, threshold: float, known: DataFrame, small: int = SMALL) -> DataFrame:
+    """Links (a, b) between classes whose components are those of the ``known`` links and all similar pairs that share a bucket (key, fp)."""
     spark = session(members)
     weights = written(members.groupBy("fp").agg(F.count(F.lit(1)).alias("weight")), "weights")
-    out, rest = None, members.join(weights, "fp").select("key", "fp", "weight", F.col("fp").alias("root"))
+    roots = written(components(known), "roots")
+    out, rest = known, members.join(weights, "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "weight", F.coalesce("root", "fp").alias("root"))
     last = False
     for round_ in range(ROUNDS + 1):
         rest = written(rest, "apart")
@@ -186,14 +212,14 @@ def links(members: DataFrame, sets: DataFrame, threshold: float, small: int = SM
             found = found.unionByName(_crossing(rest.join(sizes.where(F.col("n") > small).select("key"), "key", "left_semi").select("key", "fp", "root"), sets, threshold))
         found = written(found, "similar")
         remove(spark, pairs)
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(found)
         if last or sizes.where(F.col("n") > small).isEmpty():
             break
         last = found.isEmpty()  # hubs that link nothing leave the rest to its pairs
         roots = written(components(out), "roots")
         open_ = rest.join(sizes.where(F.col("n") > small).select("key"), "key", "left_semi").select("key", "fp", "weight")
         rest = open_.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "weight", F.coalesce("root", "fp").alias("root"))
-    return out if out is not None else spark.createDataFrame([], "a long, b long")
+    return out
 
 
 def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,15 +236,18 @@ def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD, shingle: int = SH
     shared = written(keyed.groupBy("key").count().where("count > 1").select("key"), "shared")
     members = written(keyed.join(shared, "key", "left_semi"), "members")
     remove(spark, keyed, shared)
-    # one text for each class that is in a bucket
-    ours = rows.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(best.alias("best"))
+    # one text for each class that is in a pair or a bucket
+    pairs = simhash_pairs(rows)
+    named_ = members.select("fp").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("fp"))).distinct()
+    ours = rows.join(named_, "fp", "left_semi").groupBy("fp").agg(best.alias("best"))
     ours = written(ours.select("fp", F.col("best.doc_id").alias("__doc"), F.col("best.th").alias("__th")), "chosen")
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     hashed = F.xxhash64(F.coalesce("text", F.lit("")))
     texts = texts.join(ours.hint("merge"), same(F.col("doc_id"), F.col("__doc")) & (hashed == F.col("__th"))).select("fp", "text")
     sets = written(shingle_sets(texts, shingle).dropDuplicates(["fp"]), "sets")
-    reached = written(components(links(members, sets, threshold)), "reached")
+    known = written(_similar(pairs, sets, threshold), "similar")
+    reached = written(components(links(members, sets, threshold, known)), "reached")
     classes = rows.select("fp").distinct()
     named = written(classes.join(reached, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root")), "named")
-    remove(spark, members, ours, sets, reached)
+    remove(spark, members, pairs, ours, sets, known, reached)
     return keep_first(docs, rows, named, id_col=id_col, text_col=text_col)

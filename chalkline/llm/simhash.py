@@ -62,7 +62,11 @@ def shingle_hashes(text: str | None, size: int = 3) -> np.ndarray:
 
 def fingerprint(text: str | None, size: int = 3) -> int:
     """A bit is 1 if it is set in over half of the shingles' hashes; 0 without words."""
-    hashes = shingle_hashes(text, size)
+    return majority(shingle_hashes(text, size))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     if not len(hashes):
         return 0
     counts = np.zeros(BITS, np.int64)

@@ -37,7 +37,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies stays, that of the smallest id: SimHash of five-word shingles, verified at a similarity of 0.8 or more, and bands for what its radius can't reach."""
     return nearcopies.keep_one(docs)
 
 

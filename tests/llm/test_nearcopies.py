@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from chalkline.llm import nearcopies
+from chalkline.llm import nearcopies, simhash
 
 from .conftest import sentence
 
@@ -111,3 +111,16 @@ def test_a_group_that_hubs_cannot_link_makes_no_rows_of_its_pairs(spark, make, m
     monkeypatch.setattr(nearcopies, "_similar", lambda pairs, sets, threshold: (made.append(pairs.count()), similar(pairs, sets, threshold))[1])
     assert sorted(r.doc_id for r in nearcopies.keep_one(make(rows)).collect()) == brute_kept(rows)
     assert sum(made) < 4 * 250
+
+
+def test_simhash_links_what_its_radius_reaches(spark, make, monkeypatch):
+    """Without the bands' buckets; texts of one fingerprint that share few shingles stay apart."""
+    monkeypatch.setattr(nearcopies, "links", lambda members, sets, threshold, known: known)
+    rng = random.Random(21)
+    base = sentence(rng, 3000)
+    near, same_run = edited(rng, base, 2), "y " * 400
+    rows = [(1, base), (2, near), (3, edited(rng, base, 900)), (4, same_run + sentence(rng, 30)), (5, same_run + sentence(rng, 30)), (6, f"{base} {base}")]
+    prints = {i: simhash.fingerprint(t, 5) for i, t in rows}
+    assert (prints[1] ^ prints[2]).bit_count() <= simhash.RADIUS < (prints[1] ^ prints[3]).bit_count() and prints[4] == prints[5]
+    stay = corpus_pipeline.keep_one_of_near_copies(spark, make(rows), "")
+    assert sorted(r.doc_id for r in stay.collect()) == [1, 3, 4, 5]
