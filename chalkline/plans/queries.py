@@ -148,7 +148,7 @@ def _document_index(spark: SparkSession, sf_dir: str) -> search.Index:
     path = f"{shared_dir(spark)}/words-{state_of(docs)}"
     if search.whole(spark, f"{path}/totals"):
         return search.Index.read(spark, path)
-    return search.build_index(docs.select("doc_id", "text"), "doc_id").write(path)
+    return search.write_index(docs.select("doc_id", "text"), path, "doc_id")
 
 
 def bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
