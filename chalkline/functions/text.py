@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +16,20 @@ TOKEN = "[a-z0-9_+#](?:[a-z0-9_:+#]*[a-z0-9_+#])?"
 WORD = r"[\p{L}\p{N}_]+"
 #: What Python's str.split and str.strip take for white space.
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same characters, one after another.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: What Python's str.splitlines takes for the end of a line.
 LINE_END = r"\r\n|[\n\x0B\x0C\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: The ends but a newline; the pair comes before its second half.
+OTHER_ENDS = ["\r\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))  # looks at the ends alone, where a pattern would be tried at every character
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, f"{SPACE}+$", "")
+    return F.rtrim(text, F.lit(SPACES))
 
 
 def literal_array(words: list[str]) -> Column:
@@ -128,14 +134,31 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (strip(text) == "")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value made once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def one_kind_of_ends(text: Column) -> Column:
+    """With a newline for each end of a line."""
+    for end in OTHER_ENDS:
+        text = F.replace(text, F.lit(end), F.lit("\n"))
+    return text
+
+
 def strip_fence(raw: Column) -> Column:
-    """A reply without the code fence around it."""
-    text = strip(raw)
-    opened = text.startswith("```")
-    rows = F.slice(raw_lines(text), F.lit(2), F.greatest(F.size(raw_lines(text)), F.lit(1)))
-    closed = (F.size(rows) > 0) & (strip(F.coalesce(F.try_element_at(rows, F.lit(-1)), F.lit(""))) == "```")
-    kept = F.when(closed, F.slice(rows, F.lit(1), F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)
-    return F.when(opened, strip(F.array_join(kept, "\n"))).otherwise(text)
+    """A reply without the code fence around it. Each step reads the text a fixed number of times."""
+
+    def inside(body: Column) -> Column:
+        last = F.substring_index(body, "\n", -1)
+        kept = F.substring(body, F.lit(1), F.length(body) - F.length(last) - 1)
+        return strip(F.when(strip(last) == "```", kept).otherwise(body))
+
+    def opened(text: Column) -> Column:
+        first = F.locate("\n", text)
+        return F.when(first > 0, _once(F.substring(text, first + 1, F.length(text)), inside)).otherwise("")
+
+    return _once(strip(raw), lambda text: F.when(text.startswith("```"), _once(one_kind_of_ends(text), opened)).otherwise(text))
 
 
 def hms(seconds: Column) -> Column:

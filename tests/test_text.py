@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import uuid
 
 import pytest
@@ -70,6 +71,20 @@ def test_fences(spark, raw):
     assert one(spark, raw, T.strip_fence) == strip_fence(raw)
 
 
+def test_a_reply_is_made_once_and_read_without_patterns(spark):
+    """However often a step needs it: a text is as long as a document."""
+    plan = spark.range(1).select(T.strip_fence(F.concat(F.lit("```\n"), F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(") == 1 and "regexp" not in plan and "split(" not in plan
+
+
+def test_fences_and_ends_of_any_kind(spark):
+    rng = random.Random(1)
+    some = ["a", "\u00e9", "`", "```", "```\n", "\n", "\r\n", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2028", "\u2029", "\u3000", "\u200b", " ", "\t", "json"]
+    texts = ["", "```", "```\n", "``````", "```\n```", "```json\n\n```", "```\n``` x"] + [rng.choice(["```", " ```\r\n", ""]) + "".join(rng.choice(some) for _ in range(rng.randint(0, 12))) + rng.choice(["", " \n```  \n", "```"]) for _ in range(1500)]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.strip_fence(F.col("t")).alias("f"), T.strip(F.col("t")).alias("s"), T.rstrip(F.col("t")).alias("r")).collect()
+    assert [(r.f, r.s, r.r) for r in found] == [(strip_fence(t), t.strip(), t.rstrip()) for t in texts]
+
+
 def test_times_and_links(spark):
     times = values(spark, T.hms(F.col("x")), [(0.0,), (-5.0,), (3661.9,), (360000.0,)], "x double")
     assert times == ["00:00:00", "00:00:00", "01:01:01", "100:00:00"]
