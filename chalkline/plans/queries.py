@@ -175,8 +175,8 @@ def rank_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight best documents of both rankings; a document's vector is that of its id."""
     vectors = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    points = _read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(vectors, "doc_id", "left")
-    found = search.hybrid(_document_index(spark, sf_dir), points, QUERY, _query_vector(spark, sf_dir), id_col="doc_id", vector_col="embedding")
+    points = _read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    found = search.hybrid(_document_index(spark, sf_dir), points, QUERY, _query_vector(spark, sf_dir), id_col="doc_id", vector_col="embedding", vectors=vectors)
     return found.select("doc_id", "lang", "source", F.round("score", 9).alias("score"))
 
 
